@@ -178,10 +178,23 @@ def near_same(a: str, b: str, max_share: float = MAX_SHARE, min_chars: int = MIN
     return min(len(x), len(y)) >= min_chars and within(x, y, int(max_share * longer + 1e-9)) is not None
 
 
-def distinct_texts(sketched: DataFrame, mark: Column, row_id: str = "record_id") -> DataFrame:
-    """One row for each distinct canonical text: id (the smallest row id that holds it), tid, len, mark (an aggregate over
-    its rows), segs. Copies are combined before the shuffle. A row id must determine its text."""
-    return sketched.groupBy("tid", "len").agg(F.min(row_id).alias("id"), mark.alias("mark"), F.first("segs").alias("segs"))
+def written_sketches(rows: DataFrame, carried: list[str], text: str = "text", **settings) -> DataFrame:
+    """sketches, materialized, with a number for each row."""
+    return materialize(sketches(rows, carried, text, **settings).withColumn("row", F.monotonically_increasing_id()), "sketches")
+
+
+def distinct_texts(sketched: DataFrame, own: Column, of_all: Column, row_id: str = "record_id") -> tuple[DataFrame, DataFrame]:
+    """(texts, copied) of written sketches. texts: one row for each distinct canonical text: id (a row id that holds it),
+    tid, len, mark, segs. copied: tid, len, id and mark of the texts that several rows hold; only those are looked up by
+    text, so segments aren't shuffled for it. own: the mark of a row alone; of_all: of all rows of a text, an aggregate. A
+    row id must determine its text."""
+    held = sketched.groupBy("tid", "len").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", row_id)).alias("first"), of_all.alias("mark"))
+    held = held.where("n > 1").select("tid", "len", F.col("first.row").alias("first_row"), F.col(f"first.{row_id}").alias("id"), "mark")
+    copied = materialize(held, "copied")
+    mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), "segs")
+    joined = mine.join(small(copied), ["tid", "len"], "left").where("first_row IS NULL OR first_row = row")
+    texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), "segs")
+    return texts, copied.select("tid", "len", "id", "mark")
 
 
 def postings(texts: DataFrame) -> DataFrame:
@@ -213,10 +226,9 @@ def candidates(
     """Candidate pairs of texts (a, b), a < b, and star pairs (a, b) of a hot segment's earliest holder a and another.
     stored: postings. admissible: whether two marks may be linked, either way round; order: the place (16 bits) of a mark,
     by which the earliest holder is chosen; ids must be below 2^47 for that."""
-    early = lambda: F.shiftleft(order(F.col("mark")).cast("bigint"), 47) + F.col("id")
-    counts = stored.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min(early()).alias("rep")).where("held > 1")
+    counts = stored.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     marked = stored.join(counts, "key")
-    rare = marked.where(F.col("held") <= hot).drop("held", "rep")
+    rare = marked.where(F.col("held") <= hot).drop("held")
     left = rare.select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "spot", "mark")))
     right = rare.select(F.col("key").alias("b_key"), *(F.col(c).alias(f"b_{c}") for c in ("id", "spot", "mark")))
     pairs = left.join(
@@ -227,9 +239,11 @@ def candidates(
     least = F.when(F.least(F.shiftright("a_spot", 16), F.shiftright("b_spot", 16)) < 8 * (2 * WINDOW + 1), 1).otherwise(min_shared)
     pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), least.alias("least"))
     pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least")).where("n >= least").select("a", "b")
+    early = F.shiftleft(order(F.col("mark")).cast("bigint"), 47) + F.col("id")
     of = F.least(F.shiftright("spot", 16) / F.lit(2 * WINDOW + 1), F.lit(float(SEGMENTS)))  # about how many segments are stored
-    stars = marked.where((F.col("held") > hot) & (early() != F.col("rep")))
-    stars = stars.groupBy("id", "rep").agg(F.count(F.lit(1)).alias("n"), F.max(of).alias("of")).where(F.col("n") >= F.greatest(F.lit(2.0), F.col("of") * STAR_SHARE))
+    spread = marked.where(F.col("held") > hot).select("key", "id", early.alias("early"), of.alias("of"))
+    stars = spread.join(spread.groupBy("key").agg(F.min("early").alias("rep")), "key").where("early != rep")
+    stars = stars.groupBy("id", "rep").agg(F.count(F.lit(1)).alias("n"), F.max("of").alias("of")).where(F.col("n") >= F.greatest(F.lit(2.0), F.col("of") * STAR_SHARE))
     return pairs, stars.select(F.col("rep").bitwiseAND(F.lit((1 << 47) - 1)).alias("a"), F.col("id").alias("b"))
 
 
