@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkloom.llm import history, splits
+from sparkloom.llm import conversations, encoding, history, packing, splits
 from sparkloom.plans.shared import table
 
 
@@ -14,6 +15,36 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return history.repeats(table(spark, d, "chunks"), table(spark, d, "build_runs")).select("record_id").distinct()
 
 
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Repeating chunks by run."""
+    found = history.repeats(table(spark, d, "chunks"), table(spark, d, "build_runs"))
+    return found.groupBy("run_id", "place").agg(F.countDistinct("record_id").alias("repeating"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return packing.split_oversized(table(spark, d, "chunks")).select("record_id").distinct()
+
+
+def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return packing.split_oversized(table(spark, d, "chunks")).distinct()
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled_records(table(spark, d, "chunks"), table(spark, d, "dcd_cleaner")).select("src_table", "row_id").distinct()
+
+
+def p3_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled_records(table(spark, d, "chunks"), table(spark, d, "dcd_cleaner")).distinct()
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return conversations.verdicts(table(spark, d, "messages"), table(spark, d, "sessions")).where("reason IS NOT NULL").select("session_id")
+
+
+def p4_conversations(spark: SparkSession, d: str) -> DataFrame:
+    return conversations.conversations(table(spark, d, "messages"), table(spark, d, "sessions"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.overlaps(table(spark, d, "chunks"))
 
@@ -23,7 +54,8 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p5_found": p5_found, "p5_report": p5_report}
+    mine = [p1_found, p1_report, p2_found, p2_pieces, p3_found, p3_restored, p4_found, p4_conversations, p5_found, p5_report]
+    return {f.__name__: f for f in mine}
 
 
 def oracle_sql() -> dict[str, str]:
