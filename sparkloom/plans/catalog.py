@@ -6,9 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.operators import shredding, units
+from sparkloom.plans.shared import table
+
+PRICE_FIELDS = ["official_price", "dealer_price_range"]
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return units.prices_in_yuan(table(spark, d, "dcd_cleaner"), "clean_id", PRICE_FIELDS, "price_note").drop("certain").distinct()
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = shredding.series_tables(table(spark, d, "dcd_cleaner"), ["model", "tag", "base_config", "dimension"])
+    return rows.select("clean_id", "child", "car_id", "item_no").distinct()
+
+
+def _child(child: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: shredding.child_table(table(spark, d, "dcd_cleaner"), child)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in (p6_found, p7_found)} | {f"p7_{child}": _child(child) for child in shredding.TABLES}
 
 
 def oracle_sql() -> dict[str, str]:
