@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import conversations, encoding, history, packing, splits
+from sparkloom.llm import containers, conversations, encoding, history, levels, mixing, packing, splits
 from sparkloom.plans.shared import table
 
 
@@ -53,8 +53,39 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return splits.overlap_report(table(spark, d, "chunks"))
 
 
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return containers.fill_documents(table(spark, d, "documents"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return containers.fill_report(containers.fill_documents(table(spark, d, "documents")))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    found = levels.levels(table(spark, d, "documents"), table(spark, d, "level_labels"))
+    return found.where("reading_level >= 4").select("doc_id").distinct()
+
+
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    return levels.levels(table(spark, d, "documents"), table(spark, d, "level_labels")).select("doc_id", "reading_level")
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return levels.profile(levels.levels(docs, table(spark, d, "level_labels")), docs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     mine = [p1_found, p1_report, p2_found, p2_pieces, p3_found, p3_restored, p4_found, p4_conversations, p5_found, p5_report]
+    mine += [p8_containers, p8_report, p9_mix, p9_report, p10_found, p10_levels, p10_profile]
     return {f.__name__: f for f in mine}
 
 
