@@ -1,0 +1,108 @@
+"""Image assets from raw pages: rows by section, identifiers, splits and captions."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sparkloom.functions import text as T
+
+CATEGORIES = {"wg": "外观", "ns": "内饰"}
+UNSORTED = "未分类"
+FIELDS = ("series_id", "series_name", "section", "role", "rank", "url", "category", "category_name", "car_id", "car_name", "color_names")
+
+
+def _group(v: Any) -> dict:
+    return v if isinstance(v, dict) else {}
+
+
+def _rows(v: Any) -> list[dict]:
+    return [x for x in v if isinstance(x, dict)] if isinstance(v, list) else []
+
+
+def page_assets(raw: Any) -> list[dict[str, Any]]:
+    """Assets of a raw page's JSON in order: the cover, then the samples of the selected modules, or without modules the
+    heads' images and the floor's. Of equal url, section and rank the first is kept; assets without a url are left out."""
+    page = _group(_group(_group(raw).get("props")).get("pageProps"))
+    head, card = _group(page.get("seriesHomeHead")), _group(page.get("carPriceCard"))
+    series = {"series_id": str(page.get("seriesId") or head.get("series_id") or ""), "series_name": page.get("seriesName") or head.get("series_name") or ""}
+    found: list[dict[str, Any]] = []
+
+    def add(section: str, role: str, rank: int, url: Any, category: Any = None, name: Any = None, **more: Any) -> None:
+        if isinstance(url, str) and url.strip():
+            u = url.strip()
+            found.append({**series, "section": section, "role": role, "rank": rank, "url": f"https:{u}" if u.startswith("//") else u, "category": category, "category_name": name or CATEGORIES.get(str(category), UNSORTED), **more})
+
+    add("cover", "cover", 0, head.get("cover_url") or card.get("cover_url"), "cover", "封面")
+    modules = _group(page.get("selectedImageModules"))
+    for key, module in modules.items():
+        for i, s in enumerate(_rows(_group(module).get("selected_images"))):
+            add(f"module_{key}", "module_sample", s.get("rank") if isinstance(s.get("rank"), int) else i + 1, s.get("image_url"), key, _group(module).get("category_name"), car_id=_text(s.get("car_id")), car_name=s.get("car_name"), color_names=[c for c in s.get("available_color_names") or [] if isinstance(c, str)])
+    if not modules:
+        for i, s in enumerate(_rows(head.get("series_image_info_list"))):
+            add("head", "series_image", i + 1, s.get("image_url"), s.get("category"), None, car_id=_text(s.get("car_id")))
+        for i, s in enumerate(_rows(head.get("pics_summary_info"))):
+            add("summary", "category_cover", i + 1, s.get("CoverPicUrl"), s.get("Category"))
+        for i, s in enumerate(_rows(_group(page.get("imageFloorData")).get("floor_image_list"))):
+            add("floor", "floor_image", i + 1, s.get("image_url") or s.get("url"), s.get("category"), s.get("category_name"))
+    kept: dict[tuple, dict[str, Any]] = {}
+    for a in found:
+        kept.setdefault((a["url"], a["section"], a["rank"]), a)
+    return list(kept.values())
+
+
+def _text(v: Any) -> str | None:
+    return None if v in (None, "") else str(v)
+
+
+def assets(pages: DataFrame, key: str, raw_json: str, val: float = 0.1, test: float = 0.1) -> DataFrame:
+    """Rows of page_assets with asset_id, split, file extension and whether the url looks like an image. JSON that can't
+    be read has no assets."""
+    schema = f"page_key {pages.schema[key].dataType.simpleString()}, series_id string, series_name string, section string, role string, rank int, url string, category string, category_name string, car_id string, car_name string, color_names array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
+        for b in batches:
+            keys, rows = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                try:
+                    got = page_assets(json.loads(t)) if t else []
+                except (ValueError, RecursionError):
+                    got = []
+                rows += got
+                keys += [i] * len(got)
+            cols = [pa.array([_plain(r.get(f)) for r in rows], t) for f, t in zip(FIELDS, types)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keys, pa.int64())), *cols], names=["page_key", *FIELDS])
+
+    out = pages.select(F.col(key).alias("page_key"), raw_json).mapInArrow(run, schema)
+    ident = T.stable_id(F.col("series_id"), F.col("url"), F.col("section"), F.col("role"))
+    out = out.withColumn("asset_id", ident).withColumn("split", T.hash_split(F.col("asset_id"), val, test))
+    return out.withColumn("extension", T.file_extension(F.col("url"))).withColumn("image_like", T.image_like(F.col("url"))).withColumnRenamed("page_key", key)
+
+
+def _plain(v: Any) -> Any:
+    return v if v is None or isinstance(v, (str, int, list)) else str(v)
+
+
+def with_manifest(rows: DataFrame, manifest: DataFrame) -> DataFrame:
+    """rows with what the manifest knows of the same url, section and rank; of several entries the first by path."""
+    one = manifest.groupBy("url", "section", "rank").agg(F.min("local_path").alias("local_path"))
+    return rows.join(one, ["url", "section", "rank"], "left")
+
+
+def caption() -> Column:
+    """A caption by rule of an asset row."""
+    who = F.concat(F.coalesce("series_name", F.lit("")), F.when(F.coalesce("car_name", F.lit("")) != "", F.concat(F.lit(" "), "car_name")).otherwise(""))
+    colors = F.when(F.size(F.coalesce("color_names", F.array())) > 0, F.concat(F.lit("，可见颜色："), F.array_join(F.slice("color_names", 1, 3), "、"))).otherwise("")
+    return F.concat(who, F.lit("的"), F.coalesce("category_name", F.lit(UNSORTED)), F.lit("图片"), colors, F.lit("。"))
+
+
+def caption_records(rows: DataFrame, split: str | None = None) -> DataFrame:
+    """asset_id, series_id, modality, text: caption records of assets, of one split or all."""
+    kept = rows if split is None else rows.where(F.col("split") == split)
+    return kept.select("asset_id", "series_id", F.lit("image_caption").alias("modality"), caption().alias("text"))
