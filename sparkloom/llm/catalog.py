@@ -89,5 +89,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in mine}
 
 
+_EDGE = r"[\s\p{Z}]"
+_ROLES = " ".join(f"WHEN lower(r) IN ({', '.join(repr(n) for n in names)}) THEN '{role}'" for role, names in conversations.ROLES.items())
+SQL = {
+    "p2_found": "SELECT DISTINCT record_id FROM chunks WHERE len(regexp_extract_all(text, '[A-Za-z0-9]+|[\\x{4E00}-\\x{9FFF}]')) > 500",
+    "p4_found": rf"""
+    WITH m AS (SELECT DISTINCT session_id, message_id, role, created_at, content, regexp_replace(regexp_replace(coalesce(role, ''), '^{_EDGE}+', ''), '{_EDGE}+$', '') AS r,
+      regexp_replace(regexp_replace(coalesce(created_at, ''), '^{_EDGE}+', ''), '{_EDGE}+$', '') AS c
+      FROM messages WHERE session_id IS NOT NULL AND content IS NOT NULL AND NOT regexp_full_match(content, '[\s\p{{Z}}\x1C-\x1F\x{{85}}]*')),
+    t AS (SELECT *, CASE WHEN regexp_full_match(c, '\d{{1,18}}') THEN c::BIGINT * 1000
+      WHEN regexp_full_match(c, '\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}(:\d{{2}}([.,]\d+)?)?(Z|z|[+-]\d{{2}}(:?\d{{2}})?)?')
+      THEN epoch_us(try_cast(CASE WHEN regexp_matches(c, '\d{{2}}:\d{{2}}.*([Zz]|[+-]\d{{2}}(:?\d{{2}})?)$') THEN c ELSE c || '+00:00' END AS TIMESTAMPTZ)) END AS moment FROM m),
+    u AS (SELECT *, row_number() OVER (PARTITION BY coalesce('m' || message_id, concat_ws('|', session_id, role, created_at, content)) ORDER BY coalesce(moment, 4611686018427387904), session_id, role, created_at, content) AS n FROM t),
+    v AS (SELECT session_id, message_id, moment, CASE {_ROLES} END AS who FROM u WHERE n = 1),
+    w AS (SELECT session_id, moment, who, lead(who) OVER s AS after, row_number() OVER s AS place FROM v WHERE moment IS NOT NULL AND who IN ('user', 'assistant') WINDOW s AS (PARTITION BY session_id ORDER BY moment, who DESC, coalesce(message_id, ''))),
+    broken AS (SELECT session_id FROM w WHERE (place = 1 AND who <> 'user') OR (who = 'user' AND coalesce(after, '') <> 'assistant')),
+    every AS (SELECT session_id FROM sessions WHERE session_id IS NOT NULL UNION SELECT session_id FROM messages WHERE session_id IS NOT NULL)
+    SELECT session_id FROM every WHERE session_id NOT IN (SELECT session_id FROM sessions WHERE session_id IS NOT NULL) OR session_id NOT IN (SELECT session_id FROM w)
+      OR session_id IN (SELECT session_id FROM v WHERE who IS NULL OR moment IS NULL) OR session_id IN (SELECT session_id FROM broken)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
