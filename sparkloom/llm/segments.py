@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,9 +32,9 @@ MIN_CHARS = 60
 MAX_SHARE = 0.12
 WINDOW = 8  # a segment begins at a minimum among 2 * WINDOW + 1 neighbours: 17 characters on average
 SEGMENTS = 24  # stored for each text: those with the smallest hashes, all if there are fewer
-HOT = 50  # holders beyond which a segment is joined as a star
+HOT = 200  # holders beyond which a segment is joined as a star
 STAR_SHARE = 0.3  # of a text's segments that it must share with the centre of a star
-POSITION_SLACK = 0.14  # how far relative positions may differ at MAX_SHARE
+SCARCE = 4  # holders up to which one shared segment makes a candidate
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _U = np.uint64
@@ -88,7 +89,16 @@ def sketch_texts(texts: list[str], window: int = WINDOW, segments: int = SEGMENT
     doc_start = np.concatenate([[0], np.cumsum(lengths)])
     m = _mix(codes.astype(np.uint64) + _M2)
     gram = (_mix(m + np.roll(m, -1) * _U(3) + np.roll(m, -2) * _U(7)) >> _U(32)).astype(np.uint32)
-    begins = gram == _window_min(gram, window)
+    # Nothing may hang on the texts beside a text: no gram reaches into the next one, and a gap as wide as the window
+    # keeps their minima apart.
+    none = np.uint32(0xFFFFFFFF)
+    last = doc_start[1:] - 1
+    gram[last] = none
+    gram[np.maximum(last - 1, doc_start[:-1])] = none
+    at = np.arange(len(m)) + np.repeat(np.arange(len(lengths)), lengths) * window
+    spread = np.full(len(m) + len(lengths) * window, none)
+    spread[at] = gram
+    begins = (gram == _window_min(spread, window)[at]) & (gram != none)
     begins[doc_start[:-1]] = True
     starts = np.nonzero(begins)[0]
     place = np.arange(len(m)) - np.repeat(starts, np.diff(np.append(starts, len(m))))
@@ -171,6 +181,14 @@ def within(a: str, b: str, limit: int) -> int | None:
     return score if score <= limit else None
 
 
+def _near(a: str, b: str, limit: int) -> bool:
+    """Whether a and b are within the limit: first by characters regardless of order, which are a lower bound."""
+    x, y = Counter(a), Counter(b)
+    if max((x - y).total(), (y - x).total()) > limit:
+        return False
+    return within(a, b, limit) is not None
+
+
 def near_same(a: str, b: str, max_share: float = MAX_SHARE, min_chars: int = MIN_CHARS) -> bool:
     """The exact definition, over two raw texts."""
     x, y = canonical(a), canonical(b)
@@ -209,10 +227,12 @@ def postings(texts: DataFrame) -> DataFrame:
 
 
 def _compatible(a: Column, b: Column, max_share: float) -> Column:
-    """Lengths and positions that a near-same pair may have."""
+    """Whether a near-same pair may share a segment at these places: what is before it, and what is after it, differ in
+    length by no more than the edits, taken together."""
     la, lb = F.shiftright(a, 16), F.shiftright(b, 16)
-    sa, sb = a.bitwiseAND(F.lit(0xFFFF).cast("bigint")), b.bitwiseAND(F.lit(0xFFFF).cast("bigint"))
-    return (F.abs(la - lb) <= F.greatest(la, lb) * F.lit(max_share)) & (F.abs(sa - sb) <= F.lit(int(POSITION_SLACK * 65536)))
+    pa_, pb = (F.shiftright(x.bitwiseAND(F.lit(0xFFFF).cast("bigint")) * n, 16) for x, n in ((a, la), (b, lb)))
+    longer = F.greatest(la, lb)
+    return F.abs(pa_ - pb) + F.abs((la - pa_) - (lb - pb)) <= longer * F.lit(max_share + 2**-14) + 2
 
 
 def candidates(
@@ -228,17 +248,18 @@ def candidates(
     by which the earliest holder is chosen; ids must be below 2^47 for that."""
     counts = stored.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     marked = stored.join(counts, "key")
-    rare = marked.where(F.col("held") <= hot).drop("held")
-    left = rare.select("key", *(F.col(c).alias(f"a_{c}") for c in ("id", "spot", "mark")))
+    rare = marked.where(F.col("held") <= hot)
+    left = rare.select("key", "held", *(F.col(c).alias(f"a_{c}") for c in ("id", "spot", "mark")))
     right = rare.select(F.col("key").alias("b_key"), *(F.col(c).alias(f"b_{c}") for c in ("id", "spot", "mark")))
     pairs = left.join(
         right,
         (F.col("key") == F.col("b_key")) & (F.col("a_id") < F.col("b_id")) & _compatible(F.col("a_spot"), F.col("b_spot"), max_share) & admissible(F.col("a_mark"), F.col("b_mark")),
     )
-    # Short texts have few segments: one shared rare segment is then enough.
-    least = F.when(F.least(F.shiftright("a_spot", 16), F.shiftright("b_spot", 16)) < 8 * (2 * WINDOW + 1), 1).otherwise(min_shared)
-    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), least.alias("least"))
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least")).where("n >= least").select("a", "b")
+    # Short texts have few segments: one shared rare segment is then enough, as is one that hardly any other text holds.
+    few = F.least(F.shiftright("a_spot", 16), F.shiftright("b_spot", 16)) < 8 * (2 * WINDOW + 1)
+    weight = F.when(few | (F.col("held") <= SCARCE), min_shared).otherwise(1)
+    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), weight.alias("weight"))
+    pairs = pairs.groupBy("a", "b").agg(F.sum("weight").alias("n")).where(F.col("n") >= min_shared).select("a", "b")
     early = F.shiftleft(order(F.col("mark")).cast("bigint"), 47) + F.col("id")
     of = F.least(F.shiftright("spot", 16) / F.lit(2 * WINDOW + 1), F.lit(float(SEGMENTS)))  # about how many segments are stored
     spread = marked.where(F.col("held") > hot).select("key", "id", early.alias("early"), of.alias("of"))
@@ -262,7 +283,7 @@ def verified(pairs: DataFrame, rows: DataFrame, row_id: str = "record_id", text:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            ok = [within(p, q, int(max_share * max(len(p), len(q)) + 1e-9)) is not None for p, q in zip(x, y)]
+            ok = [_near(p, q, int(max_share * max(len(p), len(q)) + 1e-9)) for p, q in zip(x, y)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     x = held.select(F.col("id").alias("a"), F.col("text").alias("x"))
@@ -283,16 +304,17 @@ def links(
     """Verified links (a, b) between different texts, materialized. within_stars: also between the members of a star,
     which the segments alone don't pair."""
     pairs, stars = candidates(postings(texts), admissible, order, **settings)
-    told = materialize(pairs.withColumn("star", F.lit(False)).unionByName(stars.withColumn("star", F.lit(True))), "candidates")
-    tried = told.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.first(F.lit(1))).select("a", "b")
-    tried = materialize(tried, "tried")
-    found = materialize(verified(tried, rows, row_id, text), "links")
+    told = pairs.withColumn("star", F.lit(False)).unionByName(stars.withColumn("star", F.lit(True)))
+    told = told.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("star").alias("star"))
+    tried = materialize(told, "tried")
+    found = materialize(verified(tried.select("a", "b"), rows, row_id, text), "links")
     if not within_stars:
         return found
-    back = found.union(found.select("b", "a"))
-    spokes = told.where("star").select("a", "b").join(back, ["a", "b"], "left_semi")
+    # A star's pair has lost which end is the centre: either may be, which only adds pairs to try.
+    spokes = tried.where("star").select("a", "b").join(found, ["a", "b"], "left_semi")
+    spokes = spokes.union(spokes.select("b", "a"))
     spokes = spokes.union(spokes.select("a", F.col("a").alias("b"))).distinct().join(texts.select(F.col("id").alias("b"), "mark"), "b")
     more = spokes.alias("l").join(spokes.alias("r"), (F.col("l.a") == F.col("r.a")) & (F.col("l.b") < F.col("r.b")) & admissible(F.col("l.mark"), F.col("r.mark")))
-    more = more.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    more = more.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = materialize(more, "more")
     return found if more.isEmpty() else materialize(found.union(verified(more, rows, row_id, text)), "links")
