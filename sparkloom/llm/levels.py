@@ -96,7 +96,7 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     weights = list(known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first())
     if not sum(weights):
         seeds = documents.where("text IS NOT NULL").select("text").orderBy(F.xxhash64("text")).limit(FORMULA_SEED)
-        pick = F.udf(formula, "int")
+        pick = F.pandas_udf(lambda texts: texts.map(formula), "int")
         known = seeds.withColumn("f", pick("text")).select(F.lit(0).alias("doc_id"), "text", *((F.col("f") == k).cast("double").alias(f"l{k}") for k in range(1, LEVELS + 1)))
         weights = list(known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first())
 

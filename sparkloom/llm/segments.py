@@ -30,8 +30,11 @@ from sparkloom.plans.shared import materialize, small
 
 MIN_CHARS = 60
 MAX_SHARE = 0.12
-WINDOW = 8  # a segment begins at a minimum among 2 * WINDOW + 1 neighbours: 17 characters on average
-SEGMENTS = 24  # stored for each text: those with the smallest hashes, all if there are fewer
+#: A segment begins at a minimum among 2 * window + 1 neighbours: 13 characters on average in texts of less than SHORT
+#: characters, 17 in others. The minima of the wider window are among those of the narrower one.
+WINDOWS = (6, 8)
+SHORT = 180
+SEGMENTS = 22  # stored for each text: those with the smallest hashes, all if there are fewer
 HOT = 200  # holders beyond which a segment is joined as a star
 STAR_SHARE = 0.3  # of a text's segments that it must share with the centre of a star
 SCARCE = 4  # holders up to which one shared segment makes a candidate
@@ -71,7 +74,7 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(cur[: len(cur) - (want - size)], cur[want - size :]) if size < want else cur
 
 
-def sketch_texts(texts: list[str], window: int = WINDOW, segments: int = SEGMENTS, min_chars: int = MIN_CHARS):
+def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments: int = SEGMENTS, min_chars: int = MIN_CHARS):
     """For each text that keeps min_chars: its place in the list, a 64-bit hash of its canonical form, the length, and the
     packed segments (48 bits of hash, 16 bits of relative position), flat with offsets."""
     joined = unicodedata.normalize("NFKC", "\0".join(t.replace("\0", "") for t in texts) + "\0").lower()
@@ -95,10 +98,11 @@ def sketch_texts(texts: list[str], window: int = WINDOW, segments: int = SEGMENT
     last = doc_start[1:] - 1
     gram[last] = none
     gram[np.maximum(last - 1, doc_start[:-1])] = none
-    at = np.arange(len(m)) + np.repeat(np.arange(len(lengths)), lengths) * window
-    spread = np.full(len(m) + len(lengths) * window, none)
+    at = np.arange(len(m)) + np.repeat(np.arange(len(lengths)), lengths) * max(windows)
+    spread = np.full(len(m) + len(lengths) * max(windows), none)
     spread[at] = gram
-    begins = (gram == _window_min(spread, window)[at]) & (gram != none)
+    least = np.where(np.repeat(lengths < SHORT, lengths), *(_window_min(spread, w)[at] for w in windows))
+    begins = (gram == least) & (gram != none)
     begins[doc_start[:-1]] = True
     starts = np.nonzero(begins)[0]
     place = np.arange(len(m)) - np.repeat(starts, np.diff(np.append(starts, len(m))))
@@ -206,33 +210,47 @@ def distinct_texts(sketched: DataFrame, own: Column, of_all: Column, row_id: str
     tid, len, mark, segs. copied: tid, len, id and mark of the texts that several rows hold; only those are looked up by
     text, so segments aren't shuffled for it. own: the mark of a row alone; of_all: of all rows of a text, an aggregate. A
     row id must determine its text."""
-    held = sketched.groupBy("tid", "len").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", row_id)).alias("first"), of_all.alias("mark"))
-    held = held.where("n > 1").select("tid", "len", F.col("first.row").alias("first_row"), F.col(f"first.{row_id}").alias("id"), "mark")
-    copied = materialize(held, "copied")
+    held = sketched.groupBy("tid", "len").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row"), of_all.alias("mark")).where("n > 1").drop("n")
+    firsts = sketched.select(F.col("row").alias("first_row"), F.col(row_id).alias("id"))
+    copied = materialize(firsts.join(small(materialize(held, "held")), "first_row"), "copied")
     mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), "segs")
     joined = mine.join(small(copied), ["tid", "len"], "left").where("first_row IS NULL OR first_row = row")
     texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), "segs")
     return texts, copied.select("tid", "len", "id", "mark")
 
 
+#: Bits of a place (relative to the text) and of a length in a posting; longer texts are held to have the greatest length.
+_PLACE, _LENGTH = 12, 20
+_LONGEST = (1 << _LENGTH) - 1
+
+
+def _bits(c: Column, shift: int, n: int) -> Column:
+    return F.shiftright(c, shift).bitwiseAND(F.lit((1 << n) - 1).cast("bigint"))
+
+
+def _mark(w: Column) -> Column:
+    return F.shiftright(w, _PLACE + _LENGTH).cast("int")
+
+
+def _length(w: Column) -> Column:
+    return _bits(w, _PLACE, _LENGTH)
+
+
 def postings(texts: DataFrame) -> DataFrame:
-    """(key, id, spot, mark): the segment's hash, its text, length and relative position in one number, the text's mark."""
+    """(key, id, w): the segment's hash, its text, and in one number the text's mark (32 bits), the length and the place."""
     flat = texts.select("id", "len", "mark", F.explode("segs").alias("s"))
-    return flat.select(
-        F.shiftright("s", 16).alias("key"),
-        "id",
-        (F.shiftleft(F.col("len").cast("bigint"), 16) + F.col("s").bitwiseAND(F.lit(0xFFFF).cast("bigint"))).alias("spot"),
-        "mark",
-    )
+    about = F.shiftleft(F.col("mark").cast("bigint"), _PLACE + _LENGTH) + F.shiftleft(F.least(F.col("len"), F.lit(_LONGEST)).cast("bigint"), _PLACE)
+    return flat.select(F.shiftright("s", 16).alias("key"), "id", (about + _bits(F.col("s"), 16 - _PLACE, _PLACE)).alias("w"))
 
 
 def _compatible(a: Column, b: Column, max_share: float) -> Column:
     """Whether a near-same pair may share a segment at these places: what is before it, and what is after it, differ in
     length by no more than the edits, taken together."""
-    la, lb = F.shiftright(a, 16), F.shiftright(b, 16)
-    pa_, pb = (F.shiftright(x.bitwiseAND(F.lit(0xFFFF).cast("bigint")) * n, 16) for x, n in ((a, la), (b, lb)))
+    la, lb = _length(a), _length(b)
+    pa_, pb = (F.shiftright(_bits(x, 0, _PLACE) * n, _PLACE) for x, n in ((a, la), (b, lb)))
     longer = F.greatest(la, lb)
-    return F.abs(pa_ - pb) + F.abs((la - pa_) - (lb - pb)) <= longer * F.lit(max_share + 2**-14) + 2
+    bound = F.abs(pa_ - pb) + F.abs((la - pa_) - (lb - pb)) <= longer * F.lit(max_share + 2.0 ** (2 - _PLACE)) + 2
+    return bound | (longer == _LONGEST)
 
 
 def candidates(
@@ -249,19 +267,17 @@ def candidates(
     counts = stored.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     marked = stored.join(counts, "key")
     rare = marked.where(F.col("held") <= hot)
-    left = rare.select("key", "held", *(F.col(c).alias(f"a_{c}") for c in ("id", "spot", "mark")))
-    right = rare.select(F.col("key").alias("b_key"), *(F.col(c).alias(f"b_{c}") for c in ("id", "spot", "mark")))
-    pairs = left.join(
-        right,
-        (F.col("key") == F.col("b_key")) & (F.col("a_id") < F.col("b_id")) & _compatible(F.col("a_spot"), F.col("b_spot"), max_share) & admissible(F.col("a_mark"), F.col("b_mark")),
-    )
+    left = rare.select("key", "held", F.col("id").alias("a_id"), F.col("w").alias("a_w"))
+    right = rare.select(F.col("key").alias("b_key"), F.col("id").alias("b_id"), F.col("w").alias("b_w"))
+    pairs = left.join(right, (F.col("key") == F.col("b_key")) & (F.col("a_id") < F.col("b_id")) & _compatible(F.col("a_w"), F.col("b_w"), max_share) & admissible(_mark(F.col("a_w")), _mark(F.col("b_w"))))
     # Short texts have few segments: one shared rare segment is then enough, as is one that hardly any other text holds.
-    few = F.least(F.shiftright("a_spot", 16), F.shiftright("b_spot", 16)) < 8 * (2 * WINDOW + 1)
+    few = F.least(_length(F.col("a_w")), _length(F.col("b_w"))) < 8 * (2 * WINDOWS[0] + 1)
     weight = F.when(few | (F.col("held") <= SCARCE), min_shared).otherwise(1)
     pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), weight.alias("weight"))
     pairs = pairs.groupBy("a", "b").agg(F.sum("weight").alias("n")).where(F.col("n") >= min_shared).select("a", "b")
-    early = F.shiftleft(order(F.col("mark")).cast("bigint"), 47) + F.col("id")
-    of = F.least(F.shiftright("spot", 16) / F.lit(2 * WINDOW + 1), F.lit(float(SEGMENTS)))  # about how many segments are stored
+    early = F.shiftleft(order(_mark(F.col("w"))).cast("bigint"), 47) + F.col("id")
+    size = _length(F.col("w"))
+    of = F.least(size / F.when(size < SHORT, 2 * WINDOWS[0] + 1).otherwise(2 * WINDOWS[1] + 1), F.lit(float(SEGMENTS)))  # about how many segments are stored
     spread = marked.where(F.col("held") > hot).select("key", "id", early.alias("early"), of.alias("of"))
     stars = spread.join(spread.groupBy("key").agg(F.min("early").alias("rep")), "key").where("early != rep")
     stars = stars.groupBy("id", "rep").agg(F.count(F.lit(1)).alias("n"), F.max("of").alias("of")).where(F.col("n") >= F.greatest(F.lit(2.0), F.col("of") * STAR_SHARE))
