@@ -337,20 +337,21 @@ def _scored(spark, d) -> DataFrame:
     return rows.select("record_id", "series_id", "chunk_index", "text", "m.*").distinct()
 
 
-_ORDER = (F.desc_nulls_last("quality_score"), F.asc_nulls_last("chunk_index"), F.col("record_id"))
+def _order() -> tuple:
+    return F.desc_nulls_last("quality_score"), F.asc_nulls_last("chunk_index"), F.col("record_id")
 
 
 @query(f"""WITH {_G}, b AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY quality_score DESC NULLS LAST, chunk_index NULLS LAST, record_id) AS place FROM g)
     SELECT series_id, record_id, place::INTEGER AS place FROM b WHERE place <= 8""")
 def series_best(spark, d):
-    return groups.best(_scored(spark, d), "series_id", 8, *_ORDER).select("series_id", "record_id", "place")
+    return groups.best(_scored(spark, d), "series_id", 8, *_order()).select("series_id", "record_id", "place")
 
 
 @query(f"""WITH {_G}, b AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY quality_score DESC NULLS LAST, chunk_index NULLS LAST, record_id) AS place FROM g)
     SELECT series_id, count(*) AS n, {", ".join(f"round(sum({m}), 4) / count({m}) AS avg_{m}" for m in _METRICS)}, max(record_id) FILTER (place = 1) AS best_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY place) FILTER (place <= 3)) AS merged
     FROM b GROUP BY series_id HAVING count(*) >= 2""")
 def series_profiles(spark, d):
-    return groups.profile(_scored(spark, d), "series_id", "record_id", list(_METRICS), "text", _ORDER).withColumn("merged", F.md5("merged"))
+    return groups.profile(_scored(spark, d), "series_id", "record_id", list(_METRICS), "text", _order()).withColumn("merged", F.md5("merged"))
 
 
 @query("SELECT coalesce(asset_split, 'none') AS split, count(*) AS rows, count(DISTINCT series_id) AS groups FROM chunks GROUP BY ALL")
