@@ -39,7 +39,7 @@ _UTF8 = re.compile(rb"[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}|[\xF0-\xF
 _UTF8_THREE = re.compile(rb"[\xE2-\xEF][\x80-\xBF]{2}")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 #: Letters and signs that a lone inverted pair of bytes may stand for.
-_LONE = re.compile("[À-ÖØ-öø-ſ°±–—‘’“”…]")
+_LONE = re.compile("[À-ÖØ-öø-ÿŠšŽžŒœŸ°±–—‘’“”…]")
 _SINGLE = ("cp1252", "mac_roman", "cp1251")
 
 
@@ -160,7 +160,8 @@ def _utf8_multi(text: str, codec: str) -> list[tuple[int, int, str]]:
                 while hi not in starts:
                     hi -= 1
                 piece = raw[lo:hi]
-                if hi - lo >= 6 and len(_UTF8_THREE.findall(piece)) >= 2:
+                read = run[starts[lo] : starts[hi]]
+                if hi - lo >= 6 and len(_UTF8_THREE.findall(piece)) >= 2 and sum(c >= "\u2e80" for c in read) * 2 >= len(read):
                     spans.append((m.start() + starts[lo], m.start() + starts[hi], _from_utf8(piece)))
             at = end
         if len(run) <= 2 and None not in parts and (m.start() and _letter(text[m.start() - 1]) or _letter(text[m.end() : m.end() + 1])):
@@ -203,7 +204,7 @@ def _gb_single(text: str, codec: str) -> list[tuple[int, int, str]]:
     return spans + alone if spans else []  # a lone unit is too weak a sign by itself
 
 
-_ODD = "\u0250-\u0390\u03cf-\u0400\u0452-\u07ff"
+_ODD = "\u0250-\u0390\u03cf-\u03ff\u0460-\u048f\u0492-\u07ff"
 _ODD_RUN = re.compile(f"[\u0080-\u07ff{LOST}]*[{_ODD}][\u0080-\u07ff{LOST}]*")
 
 
