@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of a written table up to which joins may broadcast it; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Paths of the tables written in this process.
+_WRITTEN: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +32,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     optimizer real sizes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables written so far in this session, once their readers are done; returns how many there were."""
+    conf, n = spark._jsc.hadoopConfiguration(), len(_WRITTEN)
+    while _WRITTEN:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        p.getFileSystem(conf).delete(p, True)
+    return n
+
+
 def size_of(df: DataFrame) -> int:
     """Bytes of the files below a materialized table."""
     jvm = df.sparkSession._jvm

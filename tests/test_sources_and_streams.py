@@ -129,3 +129,14 @@ def test_ingest_takes_each_key_once(spark, tmp_path):
         events.ingest_new(spark.createDataFrame([(i,) for i in ids], "k bigint"), path, "k")
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
     assert json.dumps(path)
+
+
+def test_written_tables_are_released(spark):
+    from sparkloom.plans import shared
+
+    df = shared.materialize(spark.range(3), "range")
+    assert df.count() == 3 and shared.size_of(df) > 0
+    path = df.inputFiles()[0]
+    assert shared.release(spark) >= 1 and shared.release(spark) == 0
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
