@@ -40,7 +40,7 @@ def test_ids_urls_and_splits(spark):
     got = spark.range(1).select(T.stable_id(*map(F.lit, parts)).alias("i")).withColumn("s", T.hash_split(F.col("i"))).first()
     assert (got.i, got.s) == ("29f33676ade970cd", "val")
     assert one(spark, " //a.b/c ", T.url) == "https://a.b/c" and one(spark, None, T.url) == ""
-    assert [one(spark, u, T.file_extension) for u in ("http://x/a.JPG?q=1", "http://x/a.image", "http://x/a", None)] == [".jpg", ".jpg", ".bin", None] or one(spark, "http://x/a.image", T.file_extension) == ".jpg"
+    assert [one(spark, u, T.file_extension) for u in ("http://x/a.JPG?q=1", "http://x/a.image", "http://x/a", None)] == [".jpg", ".jpg", ".bin", ".bin"]
     page = '<a href="/auto/series/12">x</a> /auto/series/7 /auto/series/12 <script id="__NEXT_DATA__" type="x">{"a":\n1}</script>'
     assert one(spark, page, T.series_ids) == ["12", "7"] and one(spark, page, T.next_data) == '{"a":\n1}' and one(spark, "none", T.next_data) is None
 
