@@ -29,7 +29,6 @@ def test_any_text_is_cut_into_pieces_within_the_limit(text):
 def test_cuts_lie_at_headings_then_paragraphs_then_items_then_sentences():
     body = lambda n: "字" * n
     text = f"# 一\n{body(30)}\n# 二\n{body(45)}\n"
-    assert [text[c:e] for _, c, e, _ in check(text)] == [f"# 一\n{body(30)}\n", f"# 二\n{body(45 - 2)}"] or len(check(text, 60, 0)) == 2
     assert [text[c:e][:3] for _, c, e, _ in P.pieces(text, 60, 0)] == ["# 一", "# 二"]
     text = f"{body(30)}\n\n{body(30)}\n\n{body(15)}"
     assert [e for _, _, e, _ in P.pieces(text, 50, 0)] == [32, len(text)]
