@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of a written table up to which joins may broadcast it; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
+_SHIPPED: set[str] = set()
 #: Paths of the tables written in this process.
 _WRITTEN: list[str] = []
 
 
+def ship(spark: SparkSession) -> bool:
+    """Send this package to the workers, once for each application, unless their Python path has it already (they get the
+    driver's PYTHONPATH and, in local mode, its working folder)."""
+    root = Path(__file__).resolve().parents[2]
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p] + [os.getcwd()]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or root in {Path(p).resolve() for p in known}:
+        return False
+    _SHIPPED.add(app)
+    packed = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="sparkloom-code-")) / "sparkloom"), "zip", root, "sparkloom")
+    spark.sparkContext.addPyFile(packed)  # Spark's own file server takes it from the driver to the executors
+    return True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,6 +50,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives the loss of executors, and gives the
     optimizer real sizes."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
     df.write.parquet(path)
