@@ -12,6 +12,11 @@ distance over the whole texts.
 Segments held by more than ``hot`` texts are not paired with each other: every holder is compared with the earliest
 holder (a star), and the members of a star with each other where the caller asks for all pairs. So a family of
 near-copies that holds a third of all rows costs rows in proportion to its size, plus its true links.
+
+Segments are quick, but no guarantee: a pair may share none. ``every_link`` guarantees every pair: all pairs of compatible
+lengths are compared, in blocks, by parity bits of their bags of characters and of pairs of characters, whose difference is
+a lower bound of the edits; what isn't ruled out goes to bounded edit distance. Its work grows as the square of the texts
+of about equal length, whatever they share.
 """
 
 from __future__ import annotations
@@ -39,6 +44,13 @@ HOT = 200  # holders beyond which a segment is joined as a star
 STAR_SHARE = 0.3  # of a text's segments that it must share with the centre of a star
 SCARCE = 4  # holders up to which one shared segment makes a candidate
 
+#: Bits of a text's bag of characters and of its bag of pairs of characters, by length; powers of two, so that they fold.
+BAG_BITS = ((320, 256, 1024), (640, 512, 2048), (1280, 1024, 4096))
+LONG_BAG_BITS = (2048, 8192)
+BLOCK = 24_000  # texts of one side of a block of pairs, about
+TASK_PAIRS = 200_000_000  # pairs of a task, about
+TILE = 2048  # texts multiplied at once
+
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _U = np.uint64
 _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
@@ -125,20 +137,57 @@ def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments:
     return kept, text_hash, lengths, packed.view(np.int64), offsets
 
 
+def _bag_bits(length: int) -> tuple[int, int]:
+    return next(((one, two) for below, one, two in BAG_BITS if length < below), LONG_BAG_BITS)
+
+
+def _parities(tokens: np.ndarray, doc: np.ndarray, docs: int, bits: int) -> np.ndarray:
+    """Packed bits: whether the number of (token, occurrence) that fall on each bit is odd."""
+    order = np.lexsort((tokens, doc))
+    tokens, doc = tokens[order], doc[order]
+    begins = np.nonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (doc[1:] != doc[:-1])]))[0]
+    nth = np.arange(len(tokens)) - np.repeat(begins, np.diff(np.append(begins, len(tokens))))
+    at = (_mix(tokens + (nth.astype(np.uint64) + _U(1)) * _M2) % _U(bits)).astype(np.int64)
+    odd = np.bincount(doc * bits + at, minlength=docs * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(docs, bits), axis=1)
+
+
+def bags(canonicals: list[str]) -> list[bytes]:
+    """For each canonical text the parity bits of its bag of characters, then those of its bag of pairs of characters. An
+    edit changes at most two (token, occurrence) of the first and four of the second, hence as many bits."""
+    out: list[bytes] = [b""] * len(canonicals)
+    for bits in {_bag_bits(len(t)) for t in canonicals if t}:
+        places = [i for i, t in enumerate(canonicals) if t and _bag_bits(len(t)) == bits]
+        step = max(1, (1 << 24) // bits[1])
+        for lo in range(0, len(places), step):
+            some = places[lo : lo + step]
+            lengths = np.array([len(canonicals[i]) for i in some])
+            codes = np.frombuffer("".join(canonicals[i] for i in some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+            doc = np.repeat(np.arange(len(some)), lengths)
+            one = _parities(codes, doc, len(some), bits[0])
+            inside = np.nonzero(doc[1:] == doc[:-1])[0]
+            two = _parities((codes[inside] << _U(32)) | codes[inside + 1], doc[inside], len(some), bits[1])
+            for i, x in zip(some, np.hstack([one, two])):
+                out[i] = x.tobytes()
+    return out
+
+
 def sketches(rows: DataFrame, carried: list[str], text: str = "text", **settings) -> DataFrame:
-    """One row for each row whose text keeps enough characters: the carried columns, tid, len and segs."""
+    """One row for each row whose text keeps enough characters: the carried columns, tid, len, segs and bag."""
     fields = [rows.schema[c] for c in carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, tid, length, segs, offsets = sketch_texts(batch.column(text).to_pylist(), **settings)
+            texts = batch.column(text).to_pylist()
+            kept, tid, length, segs, offsets = sketch_texts(texts, **settings)
             if len(kept):
                 cols = [batch.column(c).take(pa.array(kept)) for c in carried]
                 cols += [pa.array(tid.view(np.int64)), pa.array(length.astype(np.int32))]
                 cols += [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(segs))]
-                yield pa.RecordBatch.from_arrays(cols, names=[*carried, "tid", "len", "segs"])
+                cols += [pa.array(bags([canonical(texts[i]) for i in kept]), pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=[*carried, "tid", "len", "segs", "bag"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "tid bigint, len int, segs array<bigint>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "tid bigint, len int, segs array<bigint>, bag binary"])
     return rows.where(F.col(text).isNotNull()).select(*carried, text).mapInArrow(run, schema)
 
 
@@ -207,15 +256,15 @@ def written_sketches(rows: DataFrame, carried: list[str], text: str = "text", **
 
 def distinct_texts(sketched: DataFrame, own: Column, of_all: Column, row_id: str = "record_id") -> tuple[DataFrame, DataFrame]:
     """(texts, copied) of written sketches. texts: one row for each distinct canonical text: id (a row id that holds it),
-    tid, len, mark, segs. copied: tid, len, id and mark of the texts that several rows hold; only those are looked up by
+    tid, len, mark, segs, bag. copied: tid, len, id and mark of the texts that several rows hold; only those are looked up by
     text, so segments aren't shuffled for it. own: the mark of a row alone; of_all: of all rows of a text, an aggregate. A
     row id must determine its text."""
     held = sketched.groupBy("tid", "len").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row"), of_all.alias("mark")).where("n > 1").drop("n")
     firsts = sketched.select(F.col("row").alias("first_row"), F.col(row_id).alias("id"))
     copied = materialize(firsts.join(small(materialize(held, "held")), "first_row"), "copied")
-    mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), "segs")
+    mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), "segs", "bag")
     joined = mine.join(small(copied), ["tid", "len"], "left").where("first_row IS NULL OR first_row = row")
-    texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), "segs")
+    texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), "segs", "bag")
     return texts, copied.select("tid", "len", "id", "mark")
 
 
@@ -334,3 +383,102 @@ def links(
     more = more.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = materialize(more, "more")
     return found if more.isEmpty() else materialize(found.union(verified(more, rows, row_id, text)), "links")
+
+
+def _fold(packed: np.ndarray, bits: int) -> np.ndarray:
+    """The parities over fewer bits: those of the halves, combined."""
+    while packed.shape[1] * 8 > bits:
+        half = packed.shape[1] // 2
+        packed = packed[:, :half] ^ packed[:, half:]
+    return packed
+
+
+def _tiles(a: tuple, b: tuple, same: bool, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in a and in b of the pairs that the bags don't rule out. a, b: lengths (ascending) and both parities; same:
+    b is a, and each pair comes once."""
+    (la, one_a, two_a), (lb, one_b, two_b) = a, b
+    bits = one_a.shape[1] * 8
+    signs = lambda x: np.unpackbits(x, axis=1).astype(np.float32) * 2 - 1
+    for i in range(0, len(la), TILE):
+        x, xl = signs(one_a[i : i + TILE]), la[i : i + TILE]
+        for j in range(i if same else 0, len(lb), TILE):
+            yl = lb[j : j + TILE]
+            most = int(max_share * max(xl[-1], yl[-1]) + 1e-9)
+            if max(yl[0] - xl[-1], xl[0] - yl[-1]) > most:
+                continue
+            flat = np.flatnonzero(x @ signs(one_b[j : j + TILE]).T >= bits - 4 * most)
+            for lo in range(0, len(flat), 1 << 17):
+                p, q = np.divmod(flat[lo : lo + (1 << 17)], len(yl))
+                p, q = p + i, q + j
+                if same:
+                    p, q = p[p < q], q[p < q]
+                apart, limit = np.abs(la[p] - lb[q]), (max_share * np.maximum(la[p], lb[q]) + 1e-9).astype(np.int64)
+                ok = apart <= limit
+                for u, v, changed in ((one_a, one_b, 2), (two_a, two_b, 4)):
+                    p, q, apart, limit = p[ok], q[ok], apart[ok], limit[ok]
+                    # An edit that changes the length changes one bit less, and there are as many as the lengths differ by.
+                    ok = np.bitwise_count(u.view(np.uint64)[p] ^ v.view(np.uint64)[q]).sum(axis=1, dtype=np.int64) <= changed * limit - apart
+                yield p[ok], q[ok]
+
+
+def _block(table: pa.Table, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of ids of one block, an end that asks with one that answers. side: 0 and 1, or 2 for pairs within."""
+    if not table.num_rows:
+        return
+    table = table.sort_by("len")
+    ids, length, side = (table.column(c).to_numpy() for c in ("id", "len", "side"))
+    asks, answers = (table.column(c).to_numpy() for c in ("asks", "answers"))
+    bits = _bag_bits(int(length[0]))
+    raw, one, two = table.column("bag").to_pylist(), np.empty((len(ids), bits[0] // 8), np.uint8), np.empty((len(ids), bits[1] // 8), np.uint8)
+    size = np.array([len(r) for r in raw])
+    for n in np.unique(size):
+        at = np.nonzero(size == n)[0]
+        both = np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), n)
+        first = _bag_bits(int(length[at[0]]))[0] // 8
+        one[at], two[at] = _fold(both[:, :first], bits[0]), _fold(both[:, first:], bits[1])
+    kinds = [asks & answers, asks & ~answers, answers & ~asks]
+    for m in range(3):
+        for n in range(3):
+            within = side[0] == 2
+            if (m == n and m) or (within and n < m):
+                continue
+            a, b = np.nonzero(kinds[m] & (side != 1))[0], np.nonzero(kinds[n] & (side != 0))[0]
+            if len(a) and len(b):
+                for p, q in _tiles((length[a], one[a], two[a]), (length[b], one[b], two[b]), bool(within and m == n), max_share):
+                    yield ids[a[p]], ids[b[q]]
+
+
+def every_candidate(texts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
+    """All pairs (a, b), a < b, of texts (id, len, bag, asks, answers) that may be near-same, one of which asks and the
+    other answers. No pair within max_share is missed. texts: materialized. A band holds lengths within max_share of each
+    other, so that a pair is in one band or in neighbouring ones; bands are cut into blocks by hash, and each pair of blocks
+    is a task's."""
+    texts = texts.where("asks OR answers").withColumn("band", F.floor(F.log(F.col("len").cast("double")) / F.lit(float(-np.log(1 - max_share - 1e-6)))).cast("int"))
+    held = {r.band: r.n for r in texts.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cuts = {band: -(-n // BLOCK) for band, n in held.items()}
+    if not cuts:
+        return texts.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    known = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
+    cut = lambda by: F.coalesce(known[F.col("band") + by], F.lit(0))
+    part = F.pmod(F.xxhash64("id"), cut(0)).cast("int")
+    tile = lambda band, p, q, step, side: F.struct(F.format_string("%d %d %d %d", band, p, q, F.lit(step)).alias("tile"), F.lit(side).alias("side"))
+    others = lambda n, f: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), f)
+    own = others(cut(0), lambda i: F.struct(F.format_string("%d %d %d 0", "band", F.least(i, "part"), F.greatest(i, "part")).alias("tile"), F.when(i == F.col("part"), 2).when(i < F.col("part"), 1).otherwise(0).alias("side")))
+    up = others(cut(1), lambda i: tile(F.col("band"), F.col("part"), i, 1, 0))
+    down = others(cut(-1), lambda i: tile(F.col("band") - 1, i, F.col("part"), 1, 1))
+    spread = texts.withColumn("part", part).select("id", "len", "bag", "asks", "answers", F.explode(F.concat(own, up, down)).alias("t")).select("id", "len", "bag", "asks", "answers", "t.*")
+    work = sum(n * n // 2 + n * held.get(band + 1, 0) for band, n in held.items())
+
+    def run(table: pa.Table) -> pa.Table:
+        got = [(np.minimum(x, y), np.maximum(x, y)) for x, y in _block(table, max_share)]
+        a, b = (np.concatenate([g[k] for g in got]) if got else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return spread.repartition(min(2 + work // TASK_PAIRS, 4000), "tile").groupBy("tile").applyInArrow(run, "a bigint, b bigint")
+
+
+def every_link(texts: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text", useful: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+    """All verified links (a, b) between a text that asks and one that answers, materialized. useful: drops pairs (a, b)
+    that needn't be verified."""
+    texts = materialize(texts.select("id", "len", "bag", "asks", "answers"), "bags")
+    return materialize(verified(materialize(useful(every_candidate(texts)), "every"), rows, row_id, text), "every_link")
