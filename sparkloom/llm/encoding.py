@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from encodings.aliases import aliases
 from functools import lru_cache
 
 import pyarrow as pa
@@ -241,7 +242,70 @@ def _hint(written: str, codec: str) -> re.Pattern:
     return re.compile(f"{chars(0x81, 0xFE)}{{2}}|[\xa1\xa8][@-~]|[\x81-\x84][0-9]")
 
 
+@lru_cache
+def _codecs() -> tuple[str, ...]:
+    """All of Python's codecs for text."""
+    known = []
+    for codec in sorted(set(aliases.values())):
+        try:
+            if "aA1".encode(codec) == b"aA1":
+                known.append(codec)
+        except (LookupError, UnicodeError):
+            pass
+    return tuple(c for c in known if c not in ("utf_7", "unicode_escape", "raw_unicode_escape"))
+
+
+def _encoded(runs: list[str]) -> dict[str, list[bytes]]:
+    """The bytes of the runs in each codec that has them all."""
+    out = {}
+    for codec in _codecs():
+        try:
+            out[codec] = [r.encode(codec) for r in runs]
+        except UnicodeError:
+            pass
+    return out
+
+
+def _any_votes(garbled: str, clean: str) -> set[tuple[str, str]]:
+    """Of all of Python's codecs those pairs that turn the clean runs into the garbled ones: the bytes are the same."""
+    g, c = _RUN.findall(garbled), _RUN.findall(clean)
+    if not g or len(g) != len(c) or g == c or _suspicious().search(clean) or not _suspicious().search(garbled):
+        return set()
+    read, written = _encoded(g), _encoded(c)
+    return {(w, r) for w, x in written.items() for r, y in read.items() if x == y and w != r}
+
+
+@lru_cache(maxsize=1 << 16)
+def _has(codec: str, char: str) -> bool:
+    try:
+        return bool(char.encode(codec))
+    except UnicodeError:
+        return False
+
+
+def _any_spans(text: str, written: str, codec: str) -> list[tuple[int, int, str]]:
+    """Spans that a learned mapping outside READ_AS inverts whole: to two characters and more, all in everyday use."""
+    spans = []
+    for m in _RUN.finditer(text):
+        at, end = m.span()
+        while at < end:
+            stop = at
+            while stop < end and _has(codec, text[stop]):
+                stop += 1
+            if stop > at and _suspicious().search(text[at:stop]):
+                try:
+                    back = text[at:stop].encode(codec).decode(written)
+                except UnicodeError:
+                    back = ""
+                if len(back) >= 2 and all(c in _common() or c in _PUNCTUATION for c in back):
+                    spans.append((at, stop, back))
+            at = stop + 1
+    return spans
+
+
 def _spans(text: str, written: str, codec: str) -> list[tuple[int, int, str]]:
+    if codec not in READ_AS.get(written, ()):
+        return _any_spans(text, written, codec)
     if not _hint(written, codec).search(text):
         return []
     if written == "utf-8":
@@ -299,21 +363,18 @@ def _votes(garbled: str, clean: str) -> set[tuple[str, str]]:
 
 
 def learn(names: DataFrame, group: str = "series_id", text: str = "series_name", min_votes: int = MIN_VOTES) -> list[tuple[str, str]]:
-    """The mappings supported by twins of at least min_votes pairs, the best supported first. The result is at most as
-    long as READ_AS. A third of all names may belong to one group: names are made distinct before the join."""
-
-    def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.append_column("bad", pa.array([restore(t)[0] for t in b.column("t").to_pylist()], pa.bool_()))
-
-    flat = names.where(F.col(text).isNotNull()).select(F.col(group).alias("g"), F.col(text).alias("t")).distinct()
-    flat = flat.mapInArrow(suspect, "g string, t string, bad boolean").withColumn("bones", _skeleton("t"))
-    twins = flat.where("bad").select("g", "bones", F.col("t").alias("x")).join(flat.where("NOT bad").select("g", "bones", F.col("t").alias("y")), ["g", "bones"])
+    """The mappings supported by twins of at least min_votes pairs, the best supported first. Twins differ in their
+    non-ASCII runs alone; those that no mapping of READ_AS explains vote for pairs of any of Python's codecs. The result is
+    at most as long as the pairs of codecs. A third of all names may belong to one group: names are made distinct before the
+    join."""
+    flat = names.where(F.col(text).isNotNull()).select(F.col(group).alias("g"), F.col(text).alias("t")).distinct().withColumn("bones", _skeleton("t"))
+    twins = flat.select("g", "bones", F.col("t").alias("x")).join(flat.select("g", "bones", F.col("t").alias("y")), ["g", "bones"]).where("x != y")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                if got := sorted(_votes(x, y)):
+                clean = not restore(y)[0]
+                if got := sorted((clean and _votes(x, y)) or (not _votes(y, x) and _any_votes(x, y)) or ()):
                     yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in got]), pa.array([r for _, r in got])], names=["w", "r"])
 
     counted = twins.select("x", "y").mapInArrow(vote, "w string, r string").groupBy("w", "r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_votes)
