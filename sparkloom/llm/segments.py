@@ -6,17 +6,16 @@ Two texts are near-same when both keep at least ``min_chars`` letters and digits
 Each distinct canonical text stores a fixed number of segments with its length and their positions. Segments begin at
 local minima of a hash over three characters, so that the segments of two texts agree again right after an edit and a
 probe needs one substring per segment, not one per possible shift. A pair becomes a candidate when it shares at least
-``min_shared`` rare segments with compatible lengths and positions, and a candidate becomes a link by bounded edit
-distance over the whole texts.
+two segments, or one that hardly any other text holds, with compatible lengths and positions. Postings are shuffled once,
+by key; a task reads its sorted keys as a stream, whatever their size.
 
-Segments held by more than ``hot`` texts are not paired with each other: every holder is compared with the earliest
-holder (a star), and the members of a star with each other where the caller asks for all pairs. So a family of
-near-copies that holds a third of all rows costs rows in proportion to its size, plus its true links.
+Segments held by more than ``HOT`` texts are not paired: each holder is tried with the earliest one and with one of the run
+before its own. That alone finds the repeats of most families of near-copies, but not all.
 
-Segments are quick, but no guarantee: a pair may share none. ``every_link`` guarantees every pair: all pairs of compatible
-lengths are compared, in blocks, by parity bits of their bags of characters and of pairs of characters, whose difference is
-a lower bound of the edits; what isn't ruled out goes to bounded edit distance. Its work grows as the square of the texts
-of about equal length, whatever they share.
+Segments are quick, but no guarantee: a pair may share none. ``every_candidate`` guarantees every pair: all pairs of
+compatible lengths are compared, in blocks, by parity bits of their bags of characters, whose difference is a lower bound
+of the edits; what isn't ruled out goes to bounded edit distance. Tiles whose lengths or whose numbers of letters or digits
+lie too far apart are passed over. Its work grows as the square of the texts of about equal length, whatever they share.
 """
 
 from __future__ import annotations
@@ -28,10 +27,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.plans.shared import materialize, small
+from sparkloom.plans.shared import materialize, ship, small
 
 MIN_CHARS = 60
 MAX_SHARE = 0.12
@@ -39,17 +39,25 @@ MAX_SHARE = 0.12
 #: characters, 17 in others. The minima of the wider window are among those of the narrower one.
 WINDOWS = (6, 8)
 SHORT = 180
-SEGMENTS = 22  # stored for each text: those with the smallest hashes, all if there are fewer
-HOT = 200  # holders beyond which a segment is joined as a star
-STAR_SHARE = 0.3  # of a text's segments that it must share with the centre of a star
+SEGMENTS = 16  # stored for each text: those with the smallest hashes, all if there are fewer
+HOT = 200  # holders beyond which a segment is not paired
 SCARCE = 4  # holders up to which one shared segment makes a candidate
-
-#: Bits of a text's bag of characters and of its bag of pairs of characters, by length; powers of two, so that they fold.
-BAG_BITS = ((320, 256, 1024), (640, 512, 2048), (1280, 1024, 4096))
-LONG_BAG_BITS = (2048, 8192)
-BLOCK = 24_000  # texts of one side of a block of pairs, about
-TASK_PAIRS = 200_000_000  # pairs of a task, about
-TILE = 2048  # texts multiplied at once
+FEW = 104  # characters below which one shared segment makes a candidate
+STARS = 4  # one in so many hot segments is used for stars
+
+#: Bits of the bag of characters of a text below SHORT_BAG characters; they double as the length doubles, so that they fold.
+BAG_BITS = 256
+SHORT_BAG = 320
+DOUBLED = 6  # times at most
+TWOS = 4  # times as many bits has the bag of pairs of characters
+LATIN = 3  # a text has that bag if one in so many of its characters is a Latin letter, of which there are few, or if it is long
+MULTIPLIED = 4096  # bits of a bag that are multiplied at most
+BLOCK = 60_000  # texts of one side of a block of pairs, about
+TASK_PAIRS = 400_000_000  # pairs of a task, about
+TILE = 1024  # texts multiplied at once
+
+#: What a sketch has besides its segments.
+ABOUT = ["bag", "twos", "letters", "digits"]
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _U = np.uint64
@@ -86,23 +94,28 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(cur[: len(cur) - (want - size)], cur[want - size :]) if size < want else cur
 
 
-def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments: int = SEGMENTS, min_chars: int = MIN_CHARS):
-    """For each text that keeps min_chars: its place in the list, a 64-bit hash of its canonical form, the length, and the
-    packed segments (48 bits of hash, 16 bits of relative position), flat with offsets."""
+def _kept(texts: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the texts that keep min_chars, the code points of their canonical forms in one array, and their lengths."""
     joined = unicodedata.normalize("NFKC", "\0".join(t.replace("\0", "") for t in texts) + "\0").lower()
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = codes[_alnum()[codes]]
     ends = np.nonzero(codes == 0)[0]
     lengths = np.diff(np.concatenate([[-1], ends])) - 1
-    codes = codes[codes != 0]
-    doc_start = np.concatenate([[0], np.cumsum(lengths)])
-    kept = np.nonzero(lengths >= max(1, min_chars))[0]
-    if not len(kept):
-        return kept, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
-    on = np.repeat(lengths >= max(1, min_chars), lengths)
-    codes, lengths = codes[on], lengths[kept]
-    doc_start = np.concatenate([[0], np.cumsum(lengths)])
+    kept = lengths >= max(1, min_chars)
+    return np.nonzero(kept)[0], codes[codes != 0][np.repeat(kept, lengths)], lengths[kept]
+
+
+def _hashes(codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits for each character and for each text."""
     m = _mix(codes.astype(np.uint64) + _M2)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(m)) - np.repeat(first, lengths)
+    return m, _mix(np.add.reduceat(m * _POWERS[place % 4096] + _mix(place.astype(np.uint64) >> _U(12)), first) ^ lengths.astype(np.uint64))
+
+
+def _segments(m: np.ndarray, lengths: np.ndarray, windows: tuple[int, int], segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The packed segments of each text (48 bits of hash, 16 bits of relative position), flat with offsets."""
+    doc_start = np.concatenate([[0], np.cumsum(lengths)])
     gram = (_mix(m + np.roll(m, -1) * _U(3) + np.roll(m, -2) * _U(7)) >> _U(32)).astype(np.uint32)
     # Nothing may hang on the texts beside a text: no gram reaches into the next one, and a gap as wide as the window
     # keeps their minima apart.
@@ -118,12 +131,8 @@ def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments:
     begins[doc_start[:-1]] = True
     starts = np.nonzero(begins)[0]
     place = np.arange(len(m)) - np.repeat(starts, np.diff(np.append(starts, len(m))))
-    weighted = m * _POWERS[place % 4096] + _mix(place.astype(np.uint64) >> _U(12))
-    seg = _mix(np.add.reduceat(weighted, starts))
+    seg = _mix(np.add.reduceat(m * _POWERS[place % 4096] + _mix(place.astype(np.uint64) >> _U(12)), starts))
     doc = np.repeat(np.arange(len(lengths)), lengths)[starts]
-    first = np.searchsorted(starts, doc_start[:-1])
-    order_in_doc = (np.arange(len(starts)) - first[doc]).astype(np.uint64)
-    text_hash = _mix(np.add.reduceat(_mix(seg + order_in_doc * _M1), first) ^ lengths.astype(np.uint64))
     relative = ((starts - doc_start[doc]) * 65536 // lengths[doc]).astype(np.uint64)
     packed = ((seg >> _U(16)) << _U(16)) | relative
     order = np.lexsort((packed, doc))
@@ -133,61 +142,96 @@ def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments:
     same = np.concatenate([[False], (packed[1:] >> _U(16) == packed[:-1] >> _U(16)) & (doc[1:] == doc[:-1])])
     stay &= ~same  # a segment repeated within a text is stored once
     packed, doc = packed[stay], doc[stay]
-    offsets = np.searchsorted(doc, np.arange(len(lengths) + 1))
-    return kept, text_hash, lengths, packed.view(np.int64), offsets
+    return packed.view(np.int64), np.searchsorted(doc, np.arange(len(lengths) + 1))
 
 
-def _bag_bits(length: int) -> tuple[int, int]:
-    return next(((one, two) for below, one, two in BAG_BITS if length < below), LONG_BAG_BITS)
+def sketch_texts(texts: list[str], windows: tuple[int, int] = WINDOWS, segments: int = SEGMENTS, min_chars: int = MIN_CHARS):
+    """For each text that keeps min_chars: its place in the list, a 64-bit hash of its canonical form, the length, and the
+    packed segments (48 bits of hash, 16 bits of relative position), flat with offsets."""
+    kept, codes, lengths = _kept(texts, min_chars)
+    if not len(kept):
+        return kept, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+    m, text_hash = _hashes(codes, lengths)
+    return kept, text_hash, lengths, *_segments(m, lengths, windows, segments)
 
 
-def _parities(tokens: np.ndarray, doc: np.ndarray, docs: int, bits: int) -> np.ndarray:
-    """Packed bits: whether the number of (token, occurrence) that fall on each bit is odd."""
-    order = np.lexsort((tokens, doc))
-    tokens, doc = tokens[order], doc[order]
-    begins = np.nonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (doc[1:] != doc[:-1])]))[0]
-    nth = np.arange(len(tokens)) - np.repeat(begins, np.diff(np.append(begins, len(tokens))))
-    at = (_mix(tokens + (nth.astype(np.uint64) + _U(1)) * _M2) % _U(bits)).astype(np.int64)
-    odd = np.bincount(doc * bits + at, minlength=docs * bits).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(docs, bits), axis=1)
+def _bag_bits(lengths: np.ndarray) -> np.ndarray:
+    return BAG_BITS << np.searchsorted([SHORT_BAG << k for k in range(DOUBLED)], lengths, side="right")
 
 
-def bags(canonicals: list[str]) -> list[bytes]:
-    """For each canonical text the parity bits of its bag of characters, then those of its bag of pairs of characters. An
-    edit changes at most two (token, occurrence) of the first and four of the second, hence as many bits."""
-    out: list[bytes] = [b""] * len(canonicals)
-    for bits in {_bag_bits(len(t)) for t in canonicals if t}:
-        places = [i for i, t in enumerate(canonicals) if t and _bag_bits(len(t)) == bits]
-        step = max(1, (1 << 24) // bits[1])
+def _bags(m: np.ndarray, lengths: np.ndarray, times: int) -> list[bytes]:
+    """For each text the parities of how many of its hashes m fall on each bit. m: a hash for each character."""
+    out: list[bytes] = [b""] * len(lengths)
+    first = np.cumsum(lengths) - lengths
+    of = _bag_bits(lengths) * times
+    for bits in np.unique(of):
+        places = np.nonzero(of == bits)[0]
+        step = max(1, (1 << 21) // int(bits))
         for lo in range(0, len(places), step):
             some = places[lo : lo + step]
-            lengths = np.array([len(canonicals[i]) for i in some])
-            codes = np.frombuffer("".join(canonicals[i] for i in some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-            doc = np.repeat(np.arange(len(some)), lengths)
-            one = _parities(codes, doc, len(some), bits[0])
-            inside = np.nonzero(doc[1:] == doc[:-1])[0]
-            two = _parities((codes[inside] << _U(32)) | codes[inside + 1], doc[inside], len(some), bits[1])
-            for i, x in zip(some, np.hstack([one, two])):
+            n = lengths[some]
+            at = np.arange(n.sum()) + np.repeat(first[some] - (np.cumsum(n) - n), n)
+            bit = (m[at] >> _U(17)).astype(np.int64) & (int(bits) - 1)
+            odd = (np.bincount(np.repeat(np.arange(len(some)), n) * int(bits) + bit, minlength=len(some) * int(bits)) & 1).astype(np.uint8)
+            for i, x in zip(some, np.packbits(odd.reshape(len(some), -1), axis=1)):
                 out[i] = x.tobytes()
     return out
 
 
-def sketches(rows: DataFrame, carried: list[str], text: str = "text", **settings) -> DataFrame:
-    """One row for each row whose text keeps enough characters: the carried columns, tid, len, segs and bag."""
+def _numbered(m: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each m and of how many like it the text has had, text by text but in no order within."""
+    doc = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
+    token = np.sort((doc << _U(40)) | (m >> _U(24)))
+    begins = np.nonzero(np.concatenate([[True], token[1:] != token[:-1]]))[0]
+    nth = np.arange(len(token)) - np.repeat(begins, np.diff(np.append(begins, len(token))))
+    return _mix((token & _U((1 << 40) - 1)) + (nth.astype(np.uint64) + _U(1)) * _M2)
+
+
+def _ones(m: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """The bag of characters of each text."""
+    return _bags(_numbered(m, lengths), lengths, 1)
+
+
+def _twos(m: np.ndarray, lengths: np.ndarray, on: np.ndarray) -> list[bytes]:
+    """The bag of pairs of characters in a row of the texts that are on; the last character of a text has 0 after it."""
+    after = np.roll(m, -1)
+    after[np.cumsum(lengths) - 1] = 0
+    pairs = _mix(m + after * _U(5))[np.repeat(on, lengths)]
+    some = iter(_bags(_numbered(pairs, lengths[on]), lengths[on], TWOS) if on.any() else [])
+    return [next(some) if x else b"" for x in on]
+
+
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about so many bytes of text."""
+    size = np.cumsum(pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)) // (4 << 20)
+    cuts = [0, *(np.nonzero(np.diff(size))[0] + 1), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield batch.slice(lo, hi - lo)
+
+
+def sketches(rows: DataFrame, carried: list[str], text: str = "text", indexed: bool = True, min_chars: int = MIN_CHARS, **settings) -> DataFrame:
+    """One row for each row whose text keeps enough characters: the carried columns, tid, len, segs (none unless indexed),
+    the bags of characters and of pairs of them, and the numbers of ASCII letters and of ASCII digits."""
     fields = [rows.schema[c] for c in carried]
+    windows, segments = settings.get("windows", WINDOWS), settings.get("segments", SEGMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            kept, tid, length, segs, offsets = sketch_texts(texts, **settings)
+        for batch in (part for b in batches for part in _parts(b, text)):
+            kept, codes, lengths = _kept(batch.column(text).to_pylist(), min_chars)
             if len(kept):
+                m, tid = _hashes(codes, lengths)
+                segs, offsets = _segments(m, lengths, windows, segments) if indexed else (np.zeros(0, np.int64), np.zeros(len(kept) + 1, np.int64))
+                first = np.cumsum(lengths) - lengths
+                count = lambda on: pa.array(np.add.reduceat(on, first, dtype=np.int64).astype(np.int32))
                 cols = [batch.column(c).take(pa.array(kept)) for c in carried]
-                cols += [pa.array(tid.view(np.int64)), pa.array(length.astype(np.int32))]
+                cols += [pa.array(tid.view(np.int64)), pa.array(lengths.astype(np.int32))]
                 cols += [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(segs))]
-                cols += [pa.array(bags([canonical(texts[i]) for i in kept]), pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=[*carried, "tid", "len", "segs", "bag"])
+                letters, digits = count((codes >= 97) & (codes <= 122)), count((codes >= 48) & (codes <= 57))
+                alike = (letters.to_numpy() * LATIN >= lengths) | (lengths >= 2 * SHORT_BAG)
+                cols += [pa.array(_ones(m, lengths), pa.binary()), pa.array(_twos(m, lengths, alike), pa.binary()), letters, digits]
+                yield pa.RecordBatch.from_arrays(cols, names=[*carried, "tid", "len", "segs", *ABOUT])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "tid bigint, len int, segs array<bigint>, bag binary"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "tid bigint, len int, segs array<bigint>, bag binary, twos binary, letters int, digits int"])
     return rows.where(F.col(text).isNotNull()).select(*carried, text).mapInArrow(run, schema)
 
 
@@ -251,86 +295,135 @@ def near_same(a: str, b: str, max_share: float = MAX_SHARE, min_chars: int = MIN
 
 def written_sketches(rows: DataFrame, carried: list[str], text: str = "text", **settings) -> DataFrame:
     """sketches, materialized, with a number for each row."""
+    ship(rows.sparkSession)
     return materialize(sketches(rows, carried, text, **settings).withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
 def distinct_texts(sketched: DataFrame, own: Column, of_all: Column, row_id: str = "record_id") -> tuple[DataFrame, DataFrame]:
     """(texts, copied) of written sketches. texts: one row for each distinct canonical text: id (a row id that holds it),
-    tid, len, mark, segs, bag. copied: tid, len, id and mark of the texts that several rows hold; only those are looked up by
-    text, so segments aren't shuffled for it. own: the mark of a row alone; of_all: of all rows of a text, an aggregate. A
-    row id must determine its text."""
+    tid, len, mark, segs and ABOUT. copied: tid, len, id and mark of the texts that several rows hold; only
+    those are looked up by text, so segments aren't shuffled for it. own: the mark of a row alone; of_all: of all rows of a
+    text, an aggregate. A row id must determine its text."""
     held = sketched.groupBy("tid", "len").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row"), of_all.alias("mark")).where("n > 1").drop("n")
     firsts = sketched.select(F.col("row").alias("first_row"), F.col(row_id).alias("id"))
     copied = materialize(firsts.join(small(materialize(held, "held")), "first_row"), "copied")
-    mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), "segs", "bag")
+    about = ["segs", *ABOUT]
+    mine = sketched.select("tid", "len", "row", F.col(row_id).alias("own_id"), own.alias("own_mark"), *about)
     joined = mine.join(small(copied), ["tid", "len"], "left").where("first_row IS NULL OR first_row = row")
-    texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), "segs", "bag")
+    texts = joined.select(F.coalesce("id", "own_id").alias("id"), "tid", "len", F.coalesce("mark", "own_mark").alias("mark"), *about)
     return texts, copied.select("tid", "len", "id", "mark")
 
 
-#: Bits of a place (relative to the text) and of a length in a posting; longer texts are held to have the greatest length.
-_PLACE, _LENGTH = 12, 20
-_LONGEST = (1 << _LENGTH) - 1
-
-
-def _bits(c: Column, shift: int, n: int) -> Column:
-    return F.shiftright(c, shift).bitwiseAND(F.lit((1 << n) - 1).cast("bigint"))
-
-
-def _mark(w: Column) -> Column:
-    return F.shiftright(w, _PLACE + _LENGTH).cast("int")
+#: Bits of a posting's number: the key (45), the place relative to the text (7) and the logarithm of the length (12).
+_PLACE, _LENGTH = 7, 12
+_LOW = _PLACE + _LENGTH
+_STEP = 0.005  # of the logarithm of the length
 
 
-def _length(w: Column) -> Column:
-    return _bits(w, _PLACE, _LENGTH)
+def postings(texts: DataFrame, rank: Column) -> DataFrame:
+    """(w, id, rank): in one number a segment's hash, its place and its text's length; its text; and the text's rank."""
+    flat = texts.select("id", rank.cast("int").alias("rank"), F.least(F.floor(F.log("len") / _STEP), F.lit((1 << _LENGTH) - 1)).cast("bigint").alias("size"), F.explode("segs").alias("s"))
+    place = F.shiftright(F.col("s").bitwiseAND(F.lit(0xFFFF)), 16 - _PLACE)
+    w = F.shiftleft(F.shiftright("s", _LOW), _LOW) + F.shiftleft(place.cast("bigint"), _LENGTH) + F.col("size")
+    return flat.select(w.alias("w"), "id", "rank")
 
 
-def postings(texts: DataFrame) -> DataFrame:
-    """(key, id, w): the segment's hash, its text, and in one number the text's mark (32 bits), the length and the place."""
-    flat = texts.select("id", "len", "mark", F.explode("segs").alias("s"))
-    about = F.shiftleft(F.col("mark").cast("bigint"), _PLACE + _LENGTH) + F.shiftleft(F.least(F.col("len"), F.lit(_LONGEST)).cast("bigint"), _PLACE)
-    return flat.select(F.shiftright("s", 16).alias("key"), "id", (about + _bits(F.col("s"), 16 - _PLACE, _PLACE)).alias("w"))
-
-
-def _compatible(a: Column, b: Column, max_share: float) -> Column:
+def _compatible(la: np.ndarray, pa_: np.ndarray, lb: np.ndarray, pb: np.ndarray, max_share: float) -> np.ndarray:
     """Whether a near-same pair may share a segment at these places: what is before it, and what is after it, differ in
     length by no more than the edits, taken together."""
-    la, lb = _length(a), _length(b)
-    pa_, pb = (F.shiftright(_bits(x, 0, _PLACE) * n, _PLACE) for x, n in ((a, la), (b, lb)))
-    longer = F.greatest(la, lb)
-    bound = F.abs(pa_ - pb) + F.abs((la - pa_) - (lb - pb)) <= longer * F.lit(max_share + 2.0 ** (2 - _PLACE)) + 2
-    return bound | (longer == _LONGEST)
-
-
-def candidates(
-    stored: DataFrame,
-    admissible: Callable[[Column, Column], Column],
-    order: Callable[[Column], Column],
-    max_share: float = MAX_SHARE,
-    hot: int = HOT,
-    min_shared: int = 2,
-) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of texts (a, b), a < b, and star pairs (a, b) of a hot segment's earliest holder a and another.
-    stored: postings. admissible: whether two marks may be linked, either way round; order: the place (16 bits) of a mark,
-    by which the earliest holder is chosen; ids must be below 2^47 for that."""
-    counts = stored.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    marked = stored.join(counts, "key")
-    rare = marked.where(F.col("held") <= hot)
-    left = rare.select("key", "held", F.col("id").alias("a_id"), F.col("w").alias("a_w"))
-    right = rare.select(F.col("key").alias("b_key"), F.col("id").alias("b_id"), F.col("w").alias("b_w"))
-    pairs = left.join(right, (F.col("key") == F.col("b_key")) & (F.col("a_id") < F.col("b_id")) & _compatible(F.col("a_w"), F.col("b_w"), max_share) & admissible(_mark(F.col("a_w")), _mark(F.col("b_w"))))
-    # Short texts have few segments: one shared rare segment is then enough, as is one that hardly any other text holds.
-    few = F.least(_length(F.col("a_w")), _length(F.col("b_w"))) < 8 * (2 * WINDOWS[0] + 1)
-    weight = F.when(few | (F.col("held") <= SCARCE), min_shared).otherwise(1)
-    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), weight.alias("weight"))
-    pairs = pairs.groupBy("a", "b").agg(F.sum("weight").alias("n")).where(F.col("n") >= min_shared).select("a", "b")
-    early = F.shiftleft(order(_mark(F.col("w"))).cast("bigint"), 47) + F.col("id")
-    size = _length(F.col("w"))
-    of = F.least(size / F.when(size < SHORT, 2 * WINDOWS[0] + 1).otherwise(2 * WINDOWS[1] + 1), F.lit(float(SEGMENTS)))  # about how many segments are stored
-    spread = marked.where(F.col("held") > hot).select("key", "id", early.alias("early"), of.alias("of"))
-    stars = spread.join(spread.groupBy("key").agg(F.min("early").alias("rep")), "key").where("early != rep")
-    stars = stars.groupBy("id", "rep").agg(F.count(F.lit(1)).alias("n"), F.max("of").alias("of")).where(F.col("n") >= F.greatest(F.lit(2.0), F.col("of") * STAR_SHARE))
-    return pairs, stars.select(F.col("rep").bitwiseAND(F.lit((1 << 47) - 1)).alias("a"), F.col("id").alias("b"))
+    longer = np.maximum(la, lb)
+    return np.abs(pa_ - pb) + np.abs((la - pa_) - (lb - pb)) <= longer * (max_share + 2 * _STEP + 2.0 ** (2 - _PLACE)) + 2
+
+
+def _group_pairs(w: np.ndarray, ids: np.ndarray, rank: np.ndarray, hot: int, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of ids of whole keys, with their weight. w: sorted."""
+    key = w >> _LOW
+    begins = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
+    held = np.diff(np.append(begins, len(w)))
+    length = np.exp((w & ((1 << _LENGTH) - 1)) * _STEP)
+    place = (((w >> _LENGTH) & ((1 << _PLACE) - 1)) + 0.5) * 2.0**-_PLACE * length
+    for n in np.unique(held[(held > 1) & (held <= hot)]):
+        first = begins[held == n]
+        i, j = np.triu_indices(n, 1)
+        step = max(1, 1_000_000 // len(i))
+        for lo in range(0, len(first), step):
+            x, y = ((first[lo : lo + step, None] + k).ravel() for k in (i, j))
+            on = rank[x] != rank[y]
+            x, y = x[on], y[on]
+            on = _compatible(length[x], place[x], length[y], place[y], max_share)
+            x, y = x[on], y[on]
+            enough = (n <= SCARCE) | (np.minimum(length[x], length[y]) < FEW)
+            yield ids[x], ids[y], np.where(enough, 2, 1)
+    for lo, n in zip(begins[held > hot], held[held > hot]):
+        if _mix(np.array([key[lo]]).view(np.uint64))[0] % _U(STARS) == 0:
+            yield from _star(ids[lo : lo + n], rank[lo : lo + n])
+
+
+def _star(ids: np.ndarray, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each holder of a hot segment with the earliest one, and with the first one of the rank before its own."""
+    order = np.lexsort((ids, rank))
+    ids, rank = ids[order], rank[order]
+    begins = np.nonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))[0]
+    if len(begins) > 1:
+        later = np.arange(begins[1], len(ids))
+        before = ids[begins[np.searchsorted(begins, later, side="right") - 2]]
+        other = before != ids[0]
+        yield np.full(len(later), ids[0]), ids[later], np.ones(len(later), np.int64)
+        yield before[other], ids[later][other], np.ones(int(other.sum()), np.int64)
+
+
+def candidates(stored: DataFrame, max_share: float = MAX_SHARE, hot: int = HOT) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of texts of different rank that share segments. stored: postings. A task reads its
+    keys sorted, as a stream: of a key that is larger than a batch no more than a batch is held."""
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+        waiting: list[pa.RecordBatch] = []
+
+        def run(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            now = [np.concatenate([h, *(b.column(k).to_numpy() for b in waiting)]) for k, h in enumerate(held)]
+            waiting.clear()
+            if not len(now[0]):
+                return
+            key = now[0] >> _LOW
+            # The last key may go on in the next batch, unless it fills all that is held.
+            cut = len(key) if last else int(np.searchsorted(key, key[-1]))
+            cut = cut or len(key)
+            held = [c[cut:] for c in now]
+            for x, y, weight in _group_pairs(*(c[:cut] for c in now), hot, max_share):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(weight.astype(np.int32))], names=["a", "b", "weight"])
+
+        for b in batches:
+            waiting.append(b)
+            if sum(x.num_rows for x in waiting) >= 200_000:
+                yield from run(False)
+        yield from run(True)
+
+    keyed = stored.repartition(F.shiftright("w", _LOW)).sortWithinPartitions("w")
+    pairs = keyed.mapInArrow(pair, "a bigint, b bigint, weight int")
+    return pairs.groupBy("a", "b").agg(F.sum("weight").alias("n")).where("n >= 2").select("a", "b")
+
+
+def likely(pairs: DataFrame, bags: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
+    """The pairs (a, b) that their bags don't rule out. bags: id, len, bag, materialized."""
+    held = small(bags).select("id", "len", "bag")
+    both = pairs.join(held.toDF("a", "a_len", "a_bag"), "a").join(held.toDF("b", "b_len", "b_bag"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            la, lb = (b.column(c).to_numpy().astype(np.int64) for c in ("a_len", "b_len"))
+            limit, apart = (max_share * np.maximum(la, lb) + 1e-9).astype(np.int64), np.abs(la - lb)
+            x, y = b.column("a_bag").to_pylist(), b.column("b_bag").to_pylist()
+            flips = np.zeros(len(la), np.int64)
+            size = np.array([(len(p), len(q)) for p, q in zip(x, y)]).reshape(-1, 2)
+            for m, n in np.unique(size, axis=0):
+                at = np.nonzero((size == (m, n)).all(axis=1))[0]
+                p, q = (_fold(np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(len(at), -1), int(min(m, n)) * 8) for s in (x, y))
+                flips[at] = _flips(np.ascontiguousarray(p), np.ascontiguousarray(q))
+            yield b.select(["a", "b"]).filter(pa.array((apart <= limit) & (flips <= 2 * limit - apart)))
+
+    return both.select("a", "b", "a_len", "b_len", "a_bag", "b_bag").mapInArrow(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text", max_share: float = MAX_SHARE) -> DataFrame:
@@ -356,104 +449,115 @@ def verified(pairs: DataFrame, rows: DataFrame, row_id: str = "record_id", text:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
-def links(
-    texts: DataFrame,
-    rows: DataFrame,
-    admissible: Callable[[Column, Column], Column],
-    order: Callable[[Column], Column],
-    row_id: str = "record_id",
-    text: str = "text",
-    within_stars: bool = False,
-    **settings,
-) -> DataFrame:
-    """Verified links (a, b) between different texts, materialized. within_stars: also between the members of a star,
-    which the segments alone don't pair."""
-    pairs, stars = candidates(postings(texts), admissible, order, **settings)
-    told = pairs.withColumn("star", F.lit(False)).unionByName(stars.withColumn("star", F.lit(True)))
-    told = told.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("star").alias("star"))
-    tried = materialize(told, "tried")
-    found = materialize(verified(tried.select("a", "b"), rows, row_id, text), "links")
-    if not within_stars:
-        return found
-    # A star's pair has lost which end is the centre: either may be, which only adds pairs to try.
-    spokes = tried.where("star").select("a", "b").join(found, ["a", "b"], "left_semi")
-    spokes = spokes.union(spokes.select("b", "a"))
-    spokes = spokes.union(spokes.select("a", F.col("a").alias("b"))).distinct().join(texts.select(F.col("id").alias("b"), "mark"), "b")
-    more = spokes.alias("l").join(spokes.alias("r"), (F.col("l.a") == F.col("r.a")) & (F.col("l.b") < F.col("r.b")) & admissible(F.col("l.mark"), F.col("r.mark")))
-    more = more.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialize(more, "more")
-    return found if more.isEmpty() else materialize(found.union(verified(more, rows, row_id, text)), "links")
+def links(texts: DataFrame, rank: Column, bags: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text", **settings) -> DataFrame:
+    """Verified links (a, b) between texts of different rank that share segments, materialized. bags: see likely."""
+    tried = materialize(candidates(postings(texts, rank), **settings), "tried")
+    return materialize(verified(materialize(likely(tried, bags), "likely"), rows, row_id, text), "links")
 
 
 def _fold(packed: np.ndarray, bits: int) -> np.ndarray:
-    """The parities over fewer bits: those of the halves, combined."""
+    """The parities over fewer bits: those of the halves, combined. A bit is the hash's remainder by a power of two."""
     while packed.shape[1] * 8 > bits:
         half = packed.shape[1] // 2
         packed = packed[:, :half] ^ packed[:, half:]
     return packed
 
 
-def _tiles(a: tuple, b: tuple, same: bool, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places in a and in b of the pairs that the bags don't rule out. a, b: lengths (ascending) and both parities; same:
-    b is a, and each pair comes once."""
-    (la, one_a, two_a), (lb, one_b, two_b) = a, b
-    bits = one_a.shape[1] * 8
-    signs = lambda x: np.unpackbits(x, axis=1).astype(np.float32) * 2 - 1
-    for i in range(0, len(la), TILE):
-        x, xl = signs(one_a[i : i + TILE]), la[i : i + TILE]
-        for j in range(i if same else 0, len(lb), TILE):
-            yl = lb[j : j + TILE]
-            most = int(max_share * max(xl[-1], yl[-1]) + 1e-9)
-            if max(yl[0] - xl[-1], xl[0] - yl[-1]) > most:
+def _flips(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
+class _Side:
+    """Texts of a block, in an order that keeps the ranges of a tile small."""
+
+    def __init__(self, table: pa.Table, on: np.ndarray, bits: int):
+        table = table.filter(pa.array(on))
+        col = lambda c: table.column(c).to_numpy()
+        length, letters = col("len").astype(np.int64), col("letters").astype(np.int64)
+        share = np.argsort(np.argsort(letters, kind="stable"), kind="stable") // max(1, 4 * TILE)
+        self.order = np.lexsort((length, share))
+        self.ids, self.ask, self.answer = (col(c)[self.order] for c in ("id", "ask", "answer"))
+        self.about = np.stack([length, letters, col("digits").astype(np.int64)])[:, self.order]
+        self.bag, _ = self._folded(table.column("bag").to_pylist(), bits)
+        self.twos, self.alike = self._folded(table.column("twos").to_pylist(), bits * TWOS)
+        self.starts = np.arange(0, len(self.ids), TILE)
+        self.low, self.high = (f.reduceat(self.about, self.starts, axis=1) if len(self.ids) else self.about for f in (np.minimum, np.maximum))
+        self.bits = min(bits, MULTIPLIED)
+        self.signs: dict[int, np.ndarray] = {}
+
+    def _folded(self, raw: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bags in a table of as many bits, and which texts have one."""
+        raw = [raw[i] for i in self.order]
+        size = np.array([len(r) for r in raw])
+        out = np.zeros((len(raw), bits // 8), np.uint8)
+        for n in np.unique(size[size > 0]):
+            at = np.nonzero(size == n)[0]
+            out[at] = _fold(np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), n), bits)
+        return out, size > 0
+
+    def multiplied(self, k: int) -> np.ndarray:
+        if k not in self.signs:
+            if len(self.signs) * self.bits > 1 << 14:
+                self.signs.clear()
+            few = _fold(self.bag[k * TILE : (k + 1) * TILE], self.bits)
+            self.signs[k] = np.unpackbits(few, axis=1).astype(np.float32) * 2 - 1
+        return self.signs[k]
+
+
+def _tiles(a: _Side, b: _Side, same: bool, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids (asking, answering) of the pairs that the bags don't rule out. same: b is a, and each pair comes once."""
+    for i in range(len(a.starts)):
+        for j in range(i if same else 0, len(b.starts)):
+            most = int(max_share * max(a.high[0, i], b.high[0, j]) + 1e-9)
+            if np.maximum(a.low[:, i] - b.high[:, j], b.low[:, j] - a.high[:, i]).max() > most:
                 continue
-            flat = np.flatnonzero(x @ signs(one_b[j : j + TILE]).T >= bits - 4 * most)
+            flat = np.flatnonzero(a.multiplied(i) @ b.multiplied(j).T >= a.bits - 4 * most)
             for lo in range(0, len(flat), 1 << 17):
-                p, q = np.divmod(flat[lo : lo + (1 << 17)], len(yl))
-                p, q = p + i, q + j
+                p, q = np.divmod(flat[lo : lo + (1 << 17)], min(TILE, len(b.ids) - j * TILE))
+                p, q = p + i * TILE, q + j * TILE
                 if same:
                     p, q = p[p < q], q[p < q]
-                apart, limit = np.abs(la[p] - lb[q]), (max_share * np.maximum(la[p], lb[q]) + 1e-9).astype(np.int64)
-                ok = apart <= limit
-                for u, v, changed in ((one_a, one_b, 2), (two_a, two_b, 4)):
-                    p, q, apart, limit = p[ok], q[ok], apart[ok], limit[ok]
-                    # An edit that changes the length changes one bit less, and there are as many as the lengths differ by.
-                    ok = np.bitwise_count(u.view(np.uint64)[p] ^ v.view(np.uint64)[q]).sum(axis=1, dtype=np.int64) <= changed * limit - apart
-                yield p[ok], q[ok]
+                asks, other = a.ask[p] > b.answer[q], b.ask[q] > a.answer[p]
+                on = asks | other
+                p, q, asks = p[on], q[on], asks[on]
+                la, lb = a.about[0, p], b.about[0, q]
+                limit = (max_share * np.maximum(la, lb) + 1e-9).astype(np.int64)
+                on = np.abs(a.about[:, p] - b.about[:, q]).max(axis=0) <= limit
+                p, q, limit, apart, asks = p[on], q[on], limit[on], np.abs(la - lb)[on], asks[on]
+                # An edit that changes the length changes one bit less, and there are as many as the lengths differ by.
+                on = _flips(a.bag[p], b.bag[q]) <= 2 * limit - apart
+                p, q, limit, apart, asks = p[on], q[on], limit[on], apart[on], asks[on]
+                # Of pairs of characters an edit changes four, or three if it changes the length.
+                on = ~(a.alike[p] & b.alike[q])
+                on[~on] = _flips(a.twos[p[~on]], b.twos[q[~on]]) <= (4 * limit - apart)[~on]
+                x, y, asks = a.ids[p[on]], b.ids[q[on]], asks[on]
+                if len(x):
+                    yield np.where(asks, x, y), np.where(asks, y, x)
 
 
 def _block(table: pa.Table, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of ids of one block, an end that asks with one that answers. side: 0 and 1, or 2 for pairs within."""
+    """Pairs of ids of one tile: of texts of side 0 or 2 with those of side 1, and of side 2 with each other."""
     if not table.num_rows:
         return
-    table = table.sort_by("len")
-    ids, length, side = (table.column(c).to_numpy() for c in ("id", "len", "side"))
-    asks, answers = (table.column(c).to_numpy() for c in ("asks", "answers"))
-    bits = _bag_bits(int(length[0]))
-    raw, one, two = table.column("bag").to_pylist(), np.empty((len(ids), bits[0] // 8), np.uint8), np.empty((len(ids), bits[1] // 8), np.uint8)
-    size = np.array([len(r) for r in raw])
-    for n in np.unique(size):
-        at = np.nonzero(size == n)[0]
-        both = np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), n)
-        first = _bag_bits(int(length[at[0]]))[0] // 8
-        one[at], two[at] = _fold(both[:, :first], bits[0]), _fold(both[:, first:], bits[1])
-    kinds = [asks & answers, asks & ~answers, answers & ~asks]
-    for m in range(3):
-        for n in range(3):
-            within = side[0] == 2
-            if (m == n and m) or (within and n < m):
-                continue
-            a, b = np.nonzero(kinds[m] & (side != 1))[0], np.nonzero(kinds[n] & (side != 0))[0]
-            if len(a) and len(b):
-                for p, q in _tiles((length[a], one[a], two[a]), (length[b], one[b], two[b]), bool(within and m == n), max_share):
-                    yield ids[a[p]], ids[b[q]]
+    side, ask, answer = (table.column(c).to_numpy() for c in ("side", "ask", "answer"))
+    bits = int(_bag_bits(table.column("len").to_numpy()).min())
+    asks, answers = ask > answer.min(), answer < ask.max()
+    kinds = [k for k in (asks & answers, asks & ~answers, answers & ~asks) if k.any()]
+    low, high = ([_Side(table, k & on, bits) for k in kinds] for on in (side != 1, side == 1))
+    pairs = [(a, b, False) for a in low for b in high]
+    if (side == 2).any():
+        pairs += [(a, b, a is b) for i, a in enumerate(low) for b in low[i:]]
+    for a, b, same in pairs:
+        if len(a.ids) and len(b.ids) and max(a.ask.max() - b.answer.min(), b.ask.max() - a.answer.min()) > 0:
+            yield from _tiles(a, b, same, max_share)
 
 
 def every_candidate(texts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
-    """All pairs (a, b), a < b, of texts (id, len, bag, asks, answers) that may be near-same, one of which asks and the
-    other answers. No pair within max_share is missed. texts: materialized. A band holds lengths within max_share of each
-    other, so that a pair is in one band or in neighbouring ones; bands are cut into blocks by hash, and each pair of blocks
-    is a task's."""
-    texts = texts.where("asks OR answers").withColumn("band", F.floor(F.log(F.col("len").cast("double")) / F.lit(float(-np.log(1 - max_share - 1e-6)))).cast("int"))
+    """All pairs (a, b), a < b, of texts (id, len, ask, answer and ABOUT) that may be near-same and where the ask of one is
+    above the answer of the other. No pair within max_share is missed. A band holds lengths within max_share of each other,
+    so that a pair is in one band or in neighbouring ones. Bands are cut into parts by hash; a tile has a part of a band and
+    a part of the next one, and the first tile of a part also has its pairs within; parts of one band have tiles as well."""
+    texts = texts.withColumn("band", F.floor(F.log(F.col("len").cast("double")) / F.lit(float(-np.log(1 - max_share - 1e-6)))).cast("int"))
     held = {r.band: r.n for r in texts.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}
     cuts = {band: -(-n // BLOCK) for band, n in held.items()}
     if not cuts:
@@ -461,24 +565,43 @@ def every_candidate(texts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame
     known = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
     cut = lambda by: F.coalesce(known[F.col("band") + by], F.lit(0))
     part = F.pmod(F.xxhash64("id"), cut(0)).cast("int")
-    tile = lambda band, p, q, step, side: F.struct(F.format_string("%d %d %d %d", band, p, q, F.lit(step)).alias("tile"), F.lit(side).alias("side"))
-    others = lambda n, f: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), f)
-    own = others(cut(0), lambda i: F.struct(F.format_string("%d %d %d 0", "band", F.least(i, "part"), F.greatest(i, "part")).alias("tile"), F.when(i == F.col("part"), 2).when(i < F.col("part"), 1).otherwise(0).alias("side")))
-    up = others(cut(1), lambda i: tile(F.col("band"), F.col("part"), i, 1, 0))
-    down = others(cut(-1), lambda i: tile(F.col("band") - 1, i, F.col("part"), 1, 1))
-    spread = texts.withColumn("part", part).select("id", "len", "bag", "asks", "answers", F.explode(F.concat(own, up, down)).alias("t")).select("id", "len", "bag", "asks", "answers", "t.*")
+    spot = lambda name, band, p, q, side: F.struct(F.format_string(name + " %d %d %d", band, p, q).alias("tile"), F.lit(side).alias("side"))
+    each = lambda n, f: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), f)
+    # Side 0 comes with the next band, side 1 is of it; 2 asks for the pairs within as well.
+    up = each(F.greatest(cut(1), F.lit(1)), lambda i: spot("next", F.col("band"), F.col("part"), i, F.when(i == 0, 2).otherwise(0)))
+    down = each(cut(-1), lambda i: spot("next", F.col("band") - 1, i, F.col("part"), 1))
+    beside = F.filter(each(cut(0), lambda i: F.struct(F.format_string("same %d %d %d", F.col("band"), F.least(i, "part"), F.greatest(i, "part")).alias("tile"), F.when(i > F.col("part"), 0).otherwise(1).alias("side"), (i != F.col("part")).alias("other"))), lambda t: t["other"])
+    beside = F.transform(beside, lambda t: F.struct(t["tile"].alias("tile"), t["side"].alias("side")))
+    about = ["id", "len", *ABOUT, "ask", "answer"]
+    spread = texts.withColumn("part", part).select(*about, F.explode(F.concat(up, down, beside)).alias("t")).select(*about, "t.*")
     work = sum(n * n // 2 + n * held.get(band + 1, 0) for band, n in held.items())
 
-    def run(table: pa.Table) -> pa.Table:
-        got = [(np.minimum(x, y), np.maximum(x, y)) for x, y in _block(table, max_share)]
-        a, b = (np.concatenate([g[k] for g in got]) if got else np.zeros(0, np.int64) for k in (0, 1))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return spread.repartition(min(2 + work // TASK_PAIRS, 4000), "tile").groupBy("tile").applyInArrow(run, "a bigint, b bigint")
-
-
-def every_link(texts: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text", useful: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
-    """All verified links (a, b) between a text that asks and one that answers, materialized. useful: drops pairs (a, b)
-    that needn't be verified."""
-    texts = materialize(texts.select("id", "len", "bag", "asks", "answers"), "bags")
-    return materialize(verified(materialize(useful(every_candidate(texts)), "every"), rows, row_id, text), "every_link")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _tables(batches):
+            for x, y in _block(table, max_share):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    tasks = min(2 + work // TASK_PAIRS, 4000)
+    return spread.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint")
+
+
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each tile; they come sorted by it, and a tile has twice BLOCK rows, about."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        tile = b.column("tile")
+        change = pa.compute.not_equal(tile.slice(1), tile.slice(0, len(tile) - 1)).to_numpy(zero_copy_only=False) if len(tile) else []
+        cuts = [0, *(np.nonzero(change)[0] + 1), len(tile)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi > lo:
+                if held and held[0].column("tile")[0] != tile[lo]:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def every_link(texts: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text") -> DataFrame:
+    """All verified links (a, b) between a text and one whose answer is below its ask, materialized."""
+    return materialize(verified(materialize(every_candidate(texts), "every"), rows, row_id, text), "every_link")
