@@ -235,6 +235,52 @@ def sketches(rows: DataFrame, carried: list[str], text: str = "text", indexed: b
     return rows.where(F.col(text).isNotNull()).select(*carried, text).mapInArrow(run, schema)
 
 
+#: Part of a text, and characters from which on it is used, that is compared before the whole.
+BEGINNING, LONG = 0.2, 200
+
+
+#: Bits that are carried along at once.
+TOGETHER = 1 << 18
+
+
+def _unpacked(n: int, size: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(n.to_bytes((size + 7) // 8, "little"), np.uint8), bitorder="little")[:size].astype(np.int32)
+
+
+def _packed(on: np.ndarray) -> int:
+    return int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little")
+
+
+def _may_begin(some: list[str], b: str, limits: list[int]) -> np.ndarray:
+    """Which of the texts the beginning of b leaves within their limit of b. The beginning of a text that it is aligned with
+    is no longer than both allow, and of the rests at least the difference in length remains. One run over the beginning of
+    b fills the last column of the table of edit distances of all texts, side by side in one number, a 0 between them."""
+    cut = int(len(b) * BEGINNING)
+    heads = [a[: cut + limit] for a, limit in zip(some, limits)]
+    size = np.array([len(h) for h in heads])
+    ends = np.cumsum(size + 1)  # the place after each head's 0
+    first, total = ends - size - 1, int(ends[-1])
+    codes = np.frombuffer("".join(h + "\0" for h in heads).encode("utf-32-le", "surrogatepass"), np.uint32)
+    full, ones = _packed(codes != 0), np.zeros(total, bool)
+    ones[first] = True
+    base, masks = _packed(ones), {c: _packed(codes == ord(c)) for c in set(b[:cut])}
+    up, down = full, 0
+    for ch in b[:cut]:
+        eq = masks[ch]
+        vert = eq | down
+        diag = ((((eq & up) + up) ^ up) | eq) & full
+        rise, fall = (down | (~(diag | up) & full)) << 1 & full | base, (up & diag) << 1 & full
+        up, down = fall | (~(vert | rise) & full), rise & vert
+    steps = np.cumsum(_unpacked(up, total) - _unpacked(down, total))
+    edits = cut + steps - np.repeat(np.concatenate([[0], steps[ends[:-1] - 1]]), size + 1)
+    rows = np.arange(total) - np.repeat(first, size + 1) + 1
+    lengths, limit = np.array([len(a) for a in some]), np.array(limits)
+    rest = np.abs((np.repeat(lengths, size + 1) - rows) - (len(b) - cut))
+    cost = np.where(codes != 0, edits + rest, 1 << 30)
+    nothing = cut + np.abs(lengths - (len(b) - cut))  # no row at all
+    return np.minimum(np.minimum.reduceat(cost, first), nothing) <= limit
+
+
 def within(a: str, b: str, limit: int) -> int | None:
     """Edit distance of a and b if at most limit, else None. Bit-parallel over whole strings of any length."""
     if a == b:
@@ -278,12 +324,26 @@ def within(a: str, b: str, limit: int) -> int | None:
     return score if score <= limit else None
 
 
-def _near(a: str, b: str, limit: int) -> bool:
-    """Whether a and b are within the limit: first by characters regardless of order, which are a lower bound."""
-    x, y = Counter(a), Counter(b)
-    if max((x - y).total(), (y - x).total()) > limit:
-        return False
-    return within(a, b, limit) is not None
+def _near(x: list[str], y: list[str], max_share: float) -> list[bool]:
+    """Which pairs are within the share: by the beginnings of long texts, those of one y together; then by characters
+    regardless of order, which are a lower bound; then by edit distance."""
+    limit = [int(max_share * max(len(p), len(q)) + 1e-9) for p, q in zip(x, y)]
+    may = np.ones(len(x), bool)
+    by: dict[str, list[int]] = {}
+    for i, q in enumerate(y):
+        if x[i] != q and len(q) >= LONG:
+            by.setdefault(q, []).append(i)
+    for q, places in by.items():
+        step = max(1, TOGETHER // (len(q) // 2 + 1))
+        for lo in range(0, len(places), step):
+            some = places[lo : lo + step]
+            may[some] = _may_begin([x[i] for i in some], q, [limit[i] for i in some])
+
+    def one(p: str, q: str, most: int) -> bool:
+        c, d = Counter(p), Counter(q)
+        return max((c - d).total(), (d - c).total()) <= most and within(p, q, most) is not None
+
+    return [bool(m) and one(p, q, n) for m, p, q, n in zip(may, x, y, limit)]
 
 
 def near_same(a: str, b: str, max_share: float = MAX_SHARE, min_chars: int = MIN_CHARS) -> bool:
@@ -441,8 +501,7 @@ def verified(pairs: DataFrame, rows: DataFrame, row_id: str = "record_id", text:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            ok = [_near(p, q, int(max_share * max(len(p), len(q)) + 1e-9)) for p, q in zip(x, y)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(_near(x, y, max_share), pa.bool_()))
 
     x = held.select(F.col("id").alias("a"), F.col("text").alias("x"))
     y = held.select(F.col("id").alias("b"), F.col("text").alias("y"))
