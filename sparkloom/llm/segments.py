@@ -54,7 +54,7 @@ LATIN = 3  # a text has that bag if one in so many of its characters is a Latin
 MULTIPLIED = 4096  # bits of a bag that are multiplied at most
 BLOCK = 60_000  # texts of one side of a block of pairs, about
 TASK_PAIRS = 400_000_000  # pairs of a task, about
-TILE = 1024  # texts multiplied at once
+TILE = 512  # texts multiplied at once
 
 #: What a sketch has besides its segments.
 ABOUT = ["bag", "twos", "letters", "digits"]
@@ -64,6 +64,9 @@ _U = np.uint64
 _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _POWERS = np.array([pow(0xD6E8FEB86659FD93, i, 1 << 64) for i in range(4096)], np.uint64)
 _ALNUM: np.ndarray | None = None
+_SIMPLE: np.ndarray | None = None
+#: Ranges of code points most of which NFKC leaves alone or turns into signs only.
+_PLAIN = [(0, 0x250), (0x400, 0x530), (0x2000, 0x2070), (0x3000, 0x3040), (0x4E00, 0xA000), (0xFF00, 0xFF66)]
 
 
 def canonical(text: str | None) -> str:
@@ -85,6 +88,22 @@ def _alnum() -> np.ndarray:
     return _ALNUM
 
 
+def _simple() -> np.ndarray:
+    """Code points that NFKC leaves as they are, or whose NFKC has neither letters nor digits; a text of these alone needs no
+    normalization, for none of them combines with another."""
+    global _SIMPLE
+    if _SIMPLE is None:
+        _SIMPLE = np.zeros(0x110000, bool)
+        for c in (chr(i) for lo, hi in _PLAIN for i in range(lo, hi)):
+            n = unicodedata.normalize("NFKC", c)
+            _SIMPLE[ord(c)] = (n == c or not any(x.isalnum() for x in n)) and not any(map(unicodedata.combining, n))
+    return _SIMPLE
+
+
+def _codes(joined: str) -> np.ndarray:
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     """Minimum over the 2 * w + 1 neighbours of each element."""
     pad = np.full(w, np.iinfo(x.dtype).max, x.dtype)
@@ -96,8 +115,13 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 def _kept(texts: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the texts that keep min_chars, the code points of their canonical forms in one array, and their lengths."""
-    joined = unicodedata.normalize("NFKC", "\0".join(t.replace("\0", "") for t in texts) + "\0").lower()
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    texts = [t.replace("\0", "") for t in texts]
+    joined = "\0".join(texts) + "\0"
+    codes = _codes(joined)
+    odd = np.add.reduceat(~_simple()[codes], np.concatenate([[0], np.nonzero(codes == 0)[0][:-1] + 1]))
+    if odd.any():
+        joined = "\0".join(unicodedata.normalize("NFKC", t) if x else t for t, x in zip(texts, odd)) + "\0"
+    codes = _codes(joined.lower())
     codes = codes[_alnum()[codes]]
     ends = np.nonzero(codes == 0)[0]
     lengths = np.diff(np.concatenate([[-1], ends])) - 1
