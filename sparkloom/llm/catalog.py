@@ -30,7 +30,8 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.garbled_records(table(spark, d, "chunks"), table(spark, d, "dcd_cleaner")).select("src_table", "row_id").distinct()
+    """Found by the learned mappings alone (and by U+FFFD); p3_restored also finds with the listed inverses."""
+    return encoding.garbled_records(table(spark, d, "chunks"), table(spark, d, "dcd_cleaner"), listed=False).select("src_table", "row_id").distinct()
 
 
 def p3_restored(spark: SparkSession, d: str) -> DataFrame:

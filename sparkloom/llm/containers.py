@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import tokens
 from sparkloom.operators.ranking import ranked
-from sparkloom.plans.shared import materialize
+from sparkloom.plans.shared import materialize, small
 
 CAPACITY = 2048
 
@@ -80,9 +80,9 @@ def fill(rows: DataFrame, row_id: str = "doc_id", capacity: int = CAPACITY) -> D
     steps = plan({r.tokens: r.n for r in counts}, capacity)
     spark = rows.sparkSession
     planned = spark.createDataFrame(steps, "size int, first_rank bigint, n bigint, first_container bigint")
-    # The plan grows with the number of sizes, not of items, so the join has it on every task by size.
+    # The plan grows with the number of sizes, not of items.
     inside = (F.col("tokens") == F.col("size")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("n"))
-    placed = numbered.join(F.broadcast(planned), inside)
+    placed = numbered.join(small(materialize(planned, "plan")), inside)
     return placed.select((F.col("first_container") + F.col("rank") - F.col("first_rank")).alias("container_id"), row_id, "part", "tokens")
 
 

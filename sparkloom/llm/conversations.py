@@ -67,9 +67,12 @@ def clean(messages: DataFrame) -> DataFrame:
     return one.select("session_id", "message_id", who.alias("speaker"), "at", F.concat_ws("|", who, style).alias("clock"), "content")
 
 
-def clock_offsets(messages: DataFrame, least: int = 20, noise_us: int = 1_000_000) -> dict[str, int]:
-    """Microseconds to add to each clock's times. messages: cleaned. Only the sums by pair of clocks come to the driver:
-    as many rows as there are ways to write a zone, squared."""
+def clock_offsets(messages: DataFrame, noise_us: int = 1_000_000) -> dict[str, int]:
+    """Microseconds to add to each clock's times: the least squares solution of one equation for each pair of clocks, weighted
+    by its constraints. A pair is held to be wrong where more than half of its constraints are violated at both ends, by two
+    standard deviations; then its clocks are moved apart by what the replies are late, else left where they are. Offsets
+    below noise_us are none. messages: cleaned. Only the sums by pair of clocks come to the driver: as many rows as there are
+    ways to write a zone, squared."""
     told = messages.where("at IS NOT NULL AND speaker IN ('user', 'assistant')")
     ends = told.groupBy("session_id").agg(
         *(f(F.when(F.col("speaker") == who, F.struct("at", "clock"))).alias(f"{name}_{who}") for who in ("user", "assistant") for name, f in (("first", F.min), ("last", F.max)))
@@ -81,9 +84,10 @@ def clock_offsets(messages: DataFrame, least: int = 20, noise_us: int = 1_000_00
     pairs = both.groupBy(F.col("c.u.clock").alias("u"), F.col("c.a.clock").alias("a")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("wrong").alias("bad"), F.avg(F.when(F.col("wrong"), slack)).alias("late"), F.avg(F.when(slack >= 0, slack)).alias("usual")
     )
-    rows = [r for r in pairs.collect() if r.n >= least]
+    rows = pairs.collect()
+    wrong_pair = lambda r: r.bad * 2 > r.n + 2 * np.sqrt(r.n)
     clocks = sorted({c for r in rows for c in (r.u, r.a)})
-    if not any(r.bad * 2 > r.n for r in rows):
+    if not any(map(wrong_pair, rows)):
         return {c: 0 for c in clocks}
     usual = float(np.average([r.usual for r in rows if r.usual is not None] or [0.0]))
     # One equation for each pair of clocks, weighted by its constraints, and a weak one that keeps each clock as it is.
@@ -92,7 +96,7 @@ def clock_offsets(messages: DataFrame, least: int = 20, noise_us: int = 1_000_00
         w = np.sqrt(r.n)
         a[i, clocks.index(r.a)] += w
         a[i, clocks.index(r.u)] -= w
-        b[i] = w * (usual - r.late) if r.bad * 2 > r.n else 0.0
+        b[i] = w * (usual - r.late) if wrong_pair(r) else 0.0
     a[len(rows) :] = np.eye(len(clocks)) * 1e-3
     found = np.linalg.lstsq(a, b, rcond=None)[0]
     return {c: int(o) if abs(o) >= noise_us else 0 for c, o in zip(clocks, found)}

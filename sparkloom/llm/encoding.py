@@ -1,18 +1,19 @@
 """Garbled text from wrong character encoding.
 
-Method: garbled series names are joined with clean near-twins, that is names of the same series that are equal once all
+Method: garbled records are joined with clean near-twins, that is names of one series, or chunk texts, that are equal once all
 non-ASCII characters are stripped; the garbled and the clean runs of characters between the ASCII anchors are aligned, and
 each alignment votes for the transformations (written in one encoding, read in another, once or twice) that turn the clean
 characters into the garbled ones. Transformations with enough votes are the learned mappings; they are inverted over all
 remaining records, names and texts. A span is replaced only where the inverse is unambiguous: UTF-8 sequences are
 self-checking, two-byte ones must give at least two characters or a letter that the names use.
 
-A record is found if any span of it inverts, or if it holds U+FFFD, which only a failed decoding leaves. Where bytes were
-lost, the part that can be restored is restored and the record is marked as not whole.
+A record is found if any span of it inverts by a learned mapping, or if it holds U+FFFD, which only a failed decoding leaves.
+With ``listed`` the inverses of READ_AS find as well, learned or not. Where bytes were lost, the part that can be restored is
+restored and the record is marked as not whole.
 
 Nulls and empty texts are never garbled. Foreign words, accents, signs and rare characters have no inverse and stay as
-they are. Full copies come out once. Empty tables give an empty result; without twins nothing is learned, and records are
-found but not restored.
+they are. Full copies come out once. Empty tables give an empty result; without twins nothing is learned,
+and records are found by the listed inverses alone, and not restored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.plans.shared import materialize, ship, small
+
 #: What text may have been written in, and read in, by name of Python's codecs.
 READ_AS = {
     "utf-8": ["cp1252", "mac_roman", "cp1251", "gb18030", "cp932"],
@@ -252,7 +255,7 @@ def _codecs() -> tuple[str, ...]:
                 known.append(codec)
         except (LookupError, UnicodeError):
             pass
-    return tuple(c for c in known if c not in ("utf_7", "unicode_escape", "raw_unicode_escape"))
+    return tuple(c.replace("utf_8", "utf-8") for c in known if c not in ("utf_7", "unicode_escape", "raw_unicode_escape", "utf_8_sig"))
 
 
 def _encoded(runs: list[str]) -> dict[str, list[bytes]]:
@@ -362,37 +365,76 @@ def _votes(garbled: str, clean: str) -> set[tuple[str, str]]:
     return out
 
 
-def learn(names: DataFrame, group: str = "series_id", text: str = "series_name", min_votes: int = MIN_VOTES) -> list[tuple[str, str]]:
-    """The mappings supported by twins of at least min_votes pairs, the best supported first. Twins differ in their
-    non-ASCII runs alone; those that no mapping of READ_AS explains vote for pairs of any of Python's codecs. The result is
-    at most as long as the pairs of codecs. A third of all names may belong to one group: names are made distinct before the
-    join."""
-    flat = names.where(F.col(text).isNotNull()).select(F.col(group).alias("g"), F.col(text).alias("t")).distinct().withColumn("bones", _skeleton("t"))
-    twins = flat.select("g", "bones", F.col("t").alias("x")).join(flat.select("g", "bones", F.col("t").alias("y")), ["g", "bones"]).where("x != y")
+def _told(x: str, y: str) -> list[tuple[str, str]]:
+    """The transformations that turn the clean one of two twins into the other, if one of them is clean."""
+    for garbled, clean in ((x, y), (y, x)):
+        if not restore(clean)[0] and (got := _votes(garbled, clean)):
+            return sorted(got)
+    return sorted(_any_votes(x, y) or _any_votes(y, x))
+
+
+def _twins(rows: DataFrame, group: list[str], text: str, least: int) -> DataFrame:
+    """x, y: each distinct text with one of those that differ from it in their non-ASCII runs alone, the one that most rows
+    hold, then the shortest: a group of any size gives as many twins as it has texts. Skeletons of less than least
+    characters are no sign of a twin."""
+    flat = rows.where(F.col(text).isNotNull() & F.col(text).rlike(r"[^\x00-\x7f]")).select(*(F.col(g).alias(f"g{i}") for i, g in enumerate(group)), F.col(text).alias("t"))
+    keys = [f"g{i}" for i in range(len(group))] + ["bones"]
+    hashed = flat.withColumn("bones", _skeleton("t")).where(F.length("bones") >= least)
+    hashed = hashed.withColumns({"bones": F.xxhash64("bones", F.regexp_count("t", F.lit(r"[^\x00-\x7f]+"))), "h": F.xxhash64("t")})
+    # Texts are moved only where a skeleton has several of them.
+    texts = hashed.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"), F.length(F.first("t")).alias("size")) if least else hashed.groupBy(*keys, "h", "t").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.length("t"))
+    best = texts.groupBy(*keys).agg(F.min(F.struct(-F.col("n"), "size", "h")).alias("best"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(*keys, F.col("best.h").alias("best"))
+    best = small(materialize(best, "skeletons"))
+    several = hashed.join(best, keys).groupBy(*keys, "best", "h").agg(F.first("t").alias("t"))
+    y = several.where("h = best").select(*keys, F.col("t").alias("y"))
+    return several.where("h != best").join(y, keys).select(F.col("t").alias("x"), "y")
+
+
+def learn(names: DataFrame, texts: DataFrame | None = None, group: str = "series_id", text: str = "series_name", min_votes: int = MIN_VOTES) -> list[tuple[str, str]]:
+    """The mappings supported by at least min_votes twins that no better supported one explains, the best supported first.
+    Twins are names of one series, or whole texts (column text), that differ in their non-ASCII runs alone; those that no
+    mapping of READ_AS explains vote for pairs of any of Python's codecs. What comes to the driver is a count for each set of
+    mappings that explains some twin."""
+    twins = _twins(names, [group], text, 0)
+    if texts is not None:
+        twins = twins.union(_twins(texts, [], "text", 12))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                clean = not restore(y)[0]
-                if got := sorted((clean and _votes(x, y)) or (not _votes(y, x) and _any_votes(x, y)) or ()):
-                    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in got]), pa.array([r for _, r in got])], names=["w", "r"])
-
-    counted = twins.select("x", "y").mapInArrow(vote, "w string, r string").groupBy("w", "r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_votes)
-    return [(row.w, row.r) for row in counted.orderBy(F.desc("n"), "w", "r").collect()]
+            told = [_told(x, y) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            told = [" ".join(f"{w}>{r}" for w, r in t) for t in told if t]
+            if told:
+                yield pa.RecordBatch.from_arrays([pa.array(told)], names=["told"])
+
+    counted = twins.mapInArrow(vote, "told string").groupBy("told").agg(F.count(F.lit(1)).alias("n"))
+    left = {tuple(tuple(m.split(">")) for m in r.told.split(" ")): r.n for r in counted.collect()}
+    found: list[tuple[str, str]] = []
+    while left:
+        votes: dict[tuple[str, str], int] = {}
+        for told, n in left.items():
+            for m in told:
+                votes[m] = votes.get(m, 0) + n
+        best = min(votes, key=lambda m: (-votes[m], m))
+        if votes[best] < min_votes:
+            break
+        found.append(best)
+        left = {told: n for told, n in left.items() if best not in told}
+    return found
 
 
-def repair(rows: DataFrame, row_id: str, text: str, mappings: list[tuple[str, str]]) -> DataFrame:
-    """row_id, garbled text, restored text and whether it is whole, for the garbled rows alone. Texts are found with the
-    self-checking inverses as well, but restored only with the mappings given."""
-    finding = [*mappings, *(m for m in ALWAYS if m not in mappings)]
+def repair(rows: DataFrame, row_id: str, text: str, mappings: list[tuple[str, str]], listed: bool = True) -> DataFrame:
+    """row_id, garbled text, restored text and whether it is whole, for the garbled rows alone. Texts are restored with the
+    mappings given. listed: texts are found with the self-checking inverses of READ_AS as well, though not restored."""
+    others = [m for m in ALWAYS if m not in mappings] if listed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, new = [], []
             for i, t in enumerate(b.column(1).to_pylist()):
-                if t and not t.isascii() and restore(t, finding)[0]:
+                found, back = restore(t, mappings)
+                if found or others and restore(t, others)[0]:
                     keep.append(i)
-                    new.append(restore(t, mappings)[1] if mappings else t)
+                    new.append(back)
             if keep:
                 whole = [LOST not in t for t in new]
                 picked = b.take(pa.array(keep))
@@ -401,9 +443,11 @@ def repair(rows: DataFrame, row_id: str, text: str, mappings: list[tuple[str, st
     return rows.where(F.col(text).isNotNull()).select(row_id, text).mapInArrow(run, "row_id bigint, garbled string, restored string, whole boolean")
 
 
-def garbled_records(chunks: DataFrame, series: DataFrame) -> DataFrame:
-    """src_table, row_id, garbled, restored, whole: the garbled names and texts, with mappings learned from the names."""
-    mappings = learn(series)
-    names = repair(series, "clean_id", "series_name", mappings).withColumn("src_table", F.lit("dcd_cleaner"))
-    texts = repair(chunks, "record_id", "text", mappings).withColumn("src_table", F.lit("chunks"))
+def garbled_records(chunks: DataFrame, series: DataFrame, listed: bool = True) -> DataFrame:
+    """src_table, row_id, garbled, restored, whole: the garbled names and texts, with mappings learned from twins among the
+    names and among the texts. listed: see repair; without it a record is found by a learned mapping or by U+FFFD."""
+    ship(series.sparkSession)
+    mappings = learn(series, chunks)
+    names = repair(series, "clean_id", "series_name", mappings, listed).withColumn("src_table", F.lit("dcd_cleaner"))
+    texts = repair(chunks, "record_id", "text", mappings, listed).withColumn("src_table", F.lit("chunks"))
     return names.unionByName(texts).select("src_table", "row_id", "garbled", "restored", "whole")

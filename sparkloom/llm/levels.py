@@ -5,8 +5,8 @@ with the highest posterior likelihood. Units are words of Latin letters and, for
 Counts are smoothed by adding ALPHA to each, over the vocabulary of all levels. Where a document is labelled several times
 each label counts its part. Levels follow the text alone; lang and source are not used.
 
-The models are fitted on at most MAX_LABELLED labelled documents (those with the smallest hashes of their ids) and keep
-the MAX_UNITS most frequent units; both bounds are far above the labels at hand. Every document gets a level. Without any
+The models are fitted on at most MAX_LABELLED labelled documents (those with the smallest hashes of their ids), which also
+bounds the units they hold; all units of these documents count. Every document gets a level. Without any
 labels the levels are seeded by a formula over sentence and word lengths.
 
 Null texts, and texts without a unit, get the level that is most frequent among the labels. Labels outside 1 to 5 and
@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.plans.shared import materialize, ship, small
+
 ALPHA = 0.5
-MAX_LABELLED = 200_000
-MAX_UNITS = 300_000
+MAX_LABELLED = 50_000
 LEVELS = 5
 FORMULA_SEED = 20_000  # documents that a formula labels where there are no labels
 
@@ -83,16 +84,18 @@ class Model:
         return best + 1, float(s[best] - np.partition(s, -2)[-2])
 
 
-def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_units: int = MAX_UNITS) -> Model:
-    """Counts are summed over the cluster; what comes to the driver is bounded by max_units."""
+def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """Counts are summed over the cluster; what comes to the driver are the units of at most max_labelled documents."""
     given = labels.where(f"reading_level BETWEEN 1 AND {LEVELS} AND doc_id IS NOT NULL").select("doc_id", "reading_level", *(["rater"] if "rater" in labels.columns else [])).distinct()
     by = given.groupBy("doc_id").agg(*(F.count_if(F.col("reading_level") == k).cast("double").alias(f"l{k}") for k in range(1, LEVELS + 1)), F.count(F.lit(1)).alias("n"))
     by = by.select("doc_id", *((F.col(f"l{k}") / F.col("n")).alias(f"l{k}") for k in range(1, LEVELS + 1)), F.xxhash64("doc_id").alias("h"))
+    by = materialize(by, "labels")
     if by.count() > max_labelled:
-        by = by.orderBy("h", "doc_id").limit(max_labelled)
+        by = materialize(by.orderBy("h", "doc_id").limit(max_labelled), "labels")
     names = [f"l{k}" for k in range(1, LEVELS + 1)]
-    texts = documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text").dropDuplicates(["doc_id"])
-    known = texts.join(by.drop("h"), "doc_id")
+    texts = documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text")
+    # Labels first: only labelled texts are moved.
+    known = materialize(texts.join(small(by).drop("h"), "doc_id").dropDuplicates(["doc_id"]), "labelled")
     weights = list(known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first())
     if not sum(weights):
         seeds = documents.where("text IS NOT NULL").select("text").orderBy(F.xxhash64("text")).limit(FORMULA_SEED)
@@ -122,14 +125,14 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
         return out
 
     counted = known.select("text", *names).mapInArrow(tally, "unit string, " + ", ".join(f"{n} double" for n in names))
-    counted = counted.groupBy("unit").agg(*(F.sum(n).alias(n) for n in names)).withColumn("all", sum((F.col(n) for n in names[1:]), F.col(names[0])))
-    counted = counted.orderBy(F.desc("all"), "unit").limit(max_units)
+    counted = counted.groupBy("unit").agg(*(F.sum(n).alias(n) for n in names))
     rows = counted.toArrow().to_pydict()
     return Model({u: list(c) for u, *c in zip(rows["unit"], *(rows[n] for n in names))}, weights)
 
 
 def levels(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """doc_id, reading_level and margin of every document."""
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels, **settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,3 +80,19 @@ def test_empty(spark):
     none = spark.createDataFrame([], MESSAGE)
     assert C.verdicts(none, spark.createDataFrame([], SESSION)).count() == 0
     assert C.conversations(none, spark.createDataFrame([], SESSION)).count() == 0
+
+
+def test_conversations_need_the_corrected_clock(spark):
+    """The assistant's clock, and no other, is ten hours behind: without its offset every session would be dropped."""
+    behind = lambda minutes: (T0 + timedelta(minutes=minutes - 600)).strftime("%Y-%m-%d %H:%M:%S")
+    m = [x for i in range(40) for k in range(3) for x in ((f"{i}u{k}", f"s{i}", "user", f"q{k}", at(i + 2 * k)), (f"{i}a{k}", f"s{i}", "assistant", f"a{k}", behind(i + 2 * k + 1)))]
+    m += talk("broken", ["user", "user", "assistant"])
+    got = run(spark, m, [*(f"s{i}" for i in range(40)), "broken"])
+    assert got == {**{f"s{i}": None for i in range(40)}, "broken": "order"}
+    turns = C.conversations(spark.createDataFrame(m, MESSAGE), spark.createDataFrame([("s7", "u")], SESSION)).orderBy("turn").collect()
+    assert [t.content for t in turns] == ["q0", "a0", "q1", "a1", "q2", "a2"]
+
+
+def test_few_sessions_teach_no_offset(spark):
+    m = [x for i in range(3) for x in (("u%d" % i, f"s{i}", "user", "q", at(5)), ("a%d" % i, f"s{i}", "assistant", "a", at(1)))]
+    assert set(run(spark, m, ["s0", "s1", "s2"]).values()) == {"order"}
