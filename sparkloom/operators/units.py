@@ -6,8 +6,10 @@ within the bounds the one with the least sum of absolute log residuals is chosen
 combination is as good.
 
 For prices the identity is that the official price and the dealer's price of a row are nearly equal, low with low and high
-with high. A unit stated in the value leaves one candidate; a unit in the note, or none, leaves those that keep the price
-within the bounds, the noted one first among equals.
+with high. A unit stated in the value leaves one candidate; a unit in the note, or none, leaves all those that keep the price
+within WIDE times the bounds, the noted one first among equals. The combination with the least residual stands if it is the
+only one and within the bounds; otherwise the best one within the bounds is taken and flagged as uncertain, and so is a
+row whose stated unit the bounds overrule.
 
 Defined results. Null and empty texts and texts without an amount are no prices. A single amount is low and high; a range
 written the wrong way round is turned. Numbers that count doors, seats, model years or cars on sale are no amounts. Full
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 
 YUAN, THOUSAND, TEN_THOUSAND = 1, 1_000, 10_000
 BOUNDS = (50_000.0, 500_000.0)
+#: Candidates may lie so many times outside the bounds; the identities then choose, and the bounds only verify.
+WIDE = 50
 #: Residuals that count as equal.
 TOLERANCE = 1e-9
 #: What a combination costs for each column whose unit is not the noted one: less than any real residual.
@@ -152,12 +156,14 @@ def amounts(text: str | None) -> list[tuple[float, int | None]]:
 def price_row(fields: Sequence[str | None], note: str | None, bounds: tuple[float, float] = BOUNDS) -> list[tuple[int, int, bool] | None]:
     """Low and high in yuan and whether the units are certain, for each field; None where it states no price."""
     hint = noted_unit(note)
-    values, candidates, notes, place = [], [], [], {}
+    values, candidates, notes, place, overruled = [], [], [], {}, False
+    wide = (bounds[0] / WIDE, bounds[1] * WIDE)
     for k, text in enumerate(fields):
         for j, (value, factor) in enumerate(amounts(text)):
-            inside = lambda f: bounds[0] <= value * f * (1 + 1e-12) and value * f <= bounds[1] * (1 + 1e-12)  # noqa: E731, B023
-            options = [factor] if factor is not None and inside(factor) else [f for f in (YUAN, THOUSAND, TEN_THOUSAND) if inside(f)]
-            if options:
+            inside = lambda f, b: b[0] <= value * f * (1 + 1e-12) and value * f <= b[1] * (1 + 1e-12)  # noqa: E731, B023
+            options = [factor] if factor is not None and inside(factor, bounds) else [f for f in (YUAN, THOUSAND, TEN_THOUSAND) if inside(f, wide)]
+            if any(inside(f, bounds) for f in options):
+                overruled |= factor is not None and factor not in options or len(options) > 1 and factor is not None
                 place[k, j] = len(values)
                 values.append(value)
                 candidates.append(options)
@@ -171,11 +177,14 @@ def price_row(fields: Sequence[str | None], note: str | None, bounds: tuple[floa
         identities += [{a[0]: 1.0, b[0]: -1.0}, {a[-1]: 1.0, b[-1]: -1.0}]
     for v in stated:
         identities += [{x: 1.0, y: -1.0} for x, y in zip(v, v[1:])]
-    choice = choose_units(values, candidates, identities, [bounds] * len(values), notes)
+    choice = choose_units(values, candidates, identities, [wide] * len(values), notes)
+    certain = choice.unique and not overruled and all(bounds[0] <= v * f * (1 + 1e-12) and v * f <= bounds[1] * (1 + 1e-12) for v, f in zip(values, choice.factors))
+    if not certain:
+        choice = choose_units(values, candidates, identities, [bounds] * len(values), notes)
     out: list[tuple[int, int, bool] | None] = []
     for k in range(len(fields)):
         got = sorted(round(values[i] * choice.factors[i]) for i in ends[k])
-        out.append((got[0], got[-1], choice.unique) if got else None)
+        out.append((got[0], got[-1], certain) if got else None)
     return out
 
 

@@ -114,3 +114,13 @@ def test_deep_and_large_json():
     big = json.dumps([{"car_id": str(i), "tags": [str(k) for k in range(20)]} for i in range(2000)])
     assert sum(1 for _ in S.series_rows({"models": big}, ["tag"])) == 40_000
     random.seed(0)
+
+
+def test_identities_decide_where_the_unit_is_open():
+    """13.4 may be thousands or ten thousands; the other price tells. Alone only the bounds do, and the row is flagged."""
+    assert U.price_row(["13.4", "12.9万"], None)[0] == (134_000, 134_000, True)
+    assert U.price_row(["13.4", None], None)[0] == (134_000, 134_000, False)
+    wide = (1_000.0, 10_000_000.0)
+    assert U.price_row(["240", "251千"], None, wide)[0] == (240_000, 240_000, True)
+    assert U.price_row(["240", None, "255万"], None, wide)[0][0] == 2_400_000
+    assert U.price_row(["9元", None], None)[0] == (90_000, 90_000, False)  # the bounds overrule what is stated
