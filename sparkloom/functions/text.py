@@ -86,15 +86,16 @@ def url_path(c: Column) -> Column:
 
 
 def image_like(c: Column) -> Column:
+    """A web address whose path ends like an image's or names one."""
     path = F.lower(url_path(c))
-    return path.rlike(r"\.(jpg|jpeg|png|webp|bmp|image)$") | path.contains("image")
+    return c.rlike("^https?://") & (path.rlike(r"\.(jpg|jpeg|png|webp|gif|bmp)$") | path.rlike(r"img/|image|byteimg"))
 
 
 def file_extension(c: Column, content_type: Column | None = None) -> Column:
     """By content type, else by the path's ending; .image counts as .jpg and what is unknown as .bin."""
-    kinds = {"image/jpeg": ".jpg", "image/jpg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/bmp": ".bmp"}
+    kinds = {"image/jpeg": ".jpg", "image/jpg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/gif": ".gif", "image/bmp": ".bmp"}
     end = F.lower(F.regexp_extract(url_path(c), r"(\.[A-Za-z0-9]+)$", 1))
-    by_path = F.when(end == ".image", ".jpg").when(end.isin(".jpg", ".jpeg", ".png", ".webp", ".bmp"), end).otherwise(".bin")
+    by_path = F.when(end == ".image", ".jpg").when(end.isin(".jpg", ".jpeg", ".png", ".webp", ".gif", ".bmp"), end).otherwise(".bin")
     if content_type is None:
         return by_path
     kind = F.lower(F.trim(F.substring_index(F.coalesce(content_type, F.lit("")), ";", 1)))
@@ -122,6 +123,19 @@ def series_ids(html: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"/auto/series/(\d+)"), F.lit(1)))
 
 
+_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|z|[+-]\d{2}(:?\d{2})?)?$"
+
+
+def instant(text: Column) -> Column:
+    """Microseconds since 1970 of a time as written, or null. Digits only are milliseconds; no zone means UTC."""
+    t = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    zoned = F.when(t.rlike(r"([Zz]|[+-]\d{2}(:?\d{2})?)$") & t.rlike(r"[T ]\d{2}:\d{2}"), t).otherwise(F.concat(t, F.lit("Z")))
+    zoned = F.regexp_replace(F.regexp_replace(F.upper(zoned), ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    zoned = F.regexp_replace(zoned, r"(T| )(\d{2}:\d{2})(Z|[+-])", "$1$2:00$3")
+    iso = F.when(t.rlike(_ISO), F.unix_micros(zoned.try_cast("timestamp")))
+    return F.when(t.rlike(r"^\d{1,18}$"), t.try_cast("bigint") * 1000).otherwise(iso)
+
+
 def next_data(html: Column) -> Column:
     """The JSON that a page carries in its __NEXT_DATA__ script, null if it has none."""
     found = F.regexp_extract(F.coalesce(html, F.lit("")), r"""(?s)<script[^>]*\bid=["']__NEXT_DATA__["'][^>]*>(.*?)</script>""", 1)

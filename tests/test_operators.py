@@ -246,6 +246,6 @@ def test_image_assets(spark):
     rows = images.assets(df, "k", "j").collect()
     assert len(rows) == 5 and {r.category_name for r in rows} == {"封面", "外观", "内饰"} and {r.split for r in rows} <= {"train", "val", "test"}
     assert all(r.image_like and r.extension == ".jpg" for r in rows) and len({r.asset_id for r in rows}) == 5
-    manifest = spark.createDataFrame([("https://x/wg1.jpg", "module_wg", 1, "/f/1.jpg"), ("https://x/wg1.jpg", "module_wg", 1, "/f/2.jpg")], "url string, section string, rank int, local_path string")
+    manifest = spark.createDataFrame([("https://x/wg1.jpg", "module_wg", 0, "/f/1.jpg"), ("https://x/wg1.jpg", "module_wg", 0, "/f/2.jpg")], "url string, section string, rank int, local_path string")
     assert sum(r.local_path == "/f/1.jpg" for r in images.with_manifest(images.assets(df, "k", "j"), manifest).collect()) == 1
     assert {r.modality for r in images.caption_records(images.assets(df, "k", "j")).collect()} == {"image_caption"}
