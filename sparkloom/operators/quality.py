@@ -31,6 +31,27 @@ def validate(rows: DataFrame, row_id: str = "record_id", **settings) -> DataFram
     return rows.select(row_id, (F.size(errors) == 0).alias("is_valid"), errors.alias("errors"), warnings.alias("warnings"))
 
 
+def record_issues(series: dict[str, Column], prices: tuple[Column, ...], models: Column, total: Column, car_ids: Column, news_titles: Column) -> tuple[Column, Column]:
+    """(issues, warnings) of a clean record, as arrays in a fixed order: series fields that lack, no price, no model, a
+    garbled name; a total score outside 0 to 500, repeated car ids, news without a title. series: by field, series_name
+    among them; models: their number; total: a number or null; car_ids, news_titles: arrays."""
+    issues = [*(F.when(T.is_blank(c), F.lit(f"series.{f} missing")) for f, c in series.items())]
+    issues.append(F.when(F.forall(F.array(*prices), lambda p: p.isNull() | (p == "")), "price missing"))
+    issues.append(F.when(F.coalesce(models, F.lit(0)) <= 0, "no models"))
+    issues.append(F.when(T.garbled(series["series_name"]), "series_name garbled"))
+    repeated, untitled = duplicates_in(car_ids), F.size(F.filter(F.coalesce(news_titles, F.array().cast("array<string>")), lambda t: t.isNull() | (t == "")))
+    warnings = [F.when((total < 0) | (total > 500), "total_score out of range"), F.when(repeated > 0, F.concat(F.lit("repeated car_id: "), repeated.cast("string"))), F.when(untitled > 0, F.concat(F.lit("untitled news: "), untitled.cast("string")))]
+    return F.array_compact(F.array(*issues)), F.array_compact(F.array(*warnings))
+
+
+def report_summary(validations: DataFrame, items: DataFrame, dropped: int = 0, series: str = "series_id") -> DataFrame:
+    """One row: records, valid, invalid and warned ones (is_valid, warnings), items, dropped items and the distinct series
+    that items cover."""
+    of_records = validations.agg(F.count(F.lit(1)).alias("series_total"), F.count_if("is_valid").alias("series_valid"), F.count_if(~F.col("is_valid")).alias("series_invalid"), F.count_if(F.size("warnings") > 0).alias("series_with_warnings"))
+    of_items = items.agg(F.count(F.lit(1)).alias("items"), F.countDistinct(F.when(F.col(series) != "", F.col(series))).alias("covered_series"))
+    return of_records.join(F.broadcast(of_items)).withColumn("dropped", F.lit(dropped).cast("bigint"))  # one row each
+
+
 def number_stats(rows: DataFrame, value: str) -> DataFrame:
     """One row: min, max, mean and median (two decimals) of the values that are numbers; zeros if there are none."""
     zero = F.lit(0)

@@ -402,14 +402,6 @@ def dialog_preferences(spark, d):
     return rows.select("message_id", dialog.preferences(F.col("content")).alias("p")).select("message_id", "p.budget_min", "p.budget_max", "p.energy_type", "p.car_type", F.array_join("p.focus_points", "/").alias("focus"))
 
 
-@query()
-def preference_fold(spark, d):
-    """Preferences after each event-like turn: messages in the order of their ids within the session."""
-    rows = table(spark, d, "messages").where("session_id IS NOT NULL AND message_id IS NOT NULL").select("session_id", "message_id", "content").distinct()
-    turns = rows.withColumn("turn", F.xxhash64("message_id"))
-    return dialog.fold_preferences(turns).withColumn("focus_points", F.array_join("focus_points", "/"))
-
-
 # --- records and stores
 
 
@@ -454,8 +446,11 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from sparkloom.plans import composed  # noqa: F401  (registers its queries here)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -33,6 +33,22 @@ def training_items(items: DataFrame, path: str) -> None:
     items.select(*(F.col(f"metadata.{c}").alias(c) for c in EXPORTED), "text").write.mode("overwrite").parquet(path)
 
 
+#: Columns of the summary of clean records: group of the record, or none, and field.
+SUMMARY = [("", f) for f in ("schema_version", "source", "entity_type")] + [("series", f) for f in ("series_id", "series_name", "brand_name", "sub_brand_name", "car_type", "city_name")]
+SUMMARY += [("pricing", f) for f in ("dealer_price_range", "official_price_range", "latest_owner_price", "lowest_owner_price")] + [("scores", f) for f in ("total_score", "total_review_count")]
+SUMMARY += [("stats", f) for f in ("model_count", "dimension_group_count", "image_group_count", "news_count")]
+
+
+def clean_summary(records: DataFrame, record: str = "record") -> DataFrame:
+    """The 19 columns of the summary, as text, of clean records in JSON, one row for each; JSON that can't be read gives
+    nulls."""
+    return records.select(*(F.get_json_object(record, "$." + ".".join(filter(None, (group, field)))).alias(field) for group, field in SUMMARY))
+
+
+def export_clean_summary(records: DataFrame, path: str, record: str = "record") -> None:
+    clean_summary(records, record).write.mode("overwrite").parquet(path)
+
+
 def whole(c: Column, default: int) -> Column:
     return F.coalesce(c.try_cast("int"), F.lit(default))
 
@@ -90,6 +106,19 @@ def governed(results: DataFrame, folder: str) -> None:
         kept.where(F.col("decision") == decision).drop("steps").write.mode("append").json(f"{folder}/{decision}")
 
 
+def without_news(raw: Column, keys: Sequence[str]) -> Column:
+    """A raw page's JSON whose page lacks the keys; the rest keeps its values, as text of JSON."""
+    page = F.from_json(F.get_json_object(raw, "$.props.pageProps"), "map<string,string>")
+    kept = F.map_filter(page, lambda k, v: ~k.isin(list(keys)))
+    return F.to_json(kept)
+
+
+def decisions(results: DataFrame, decision: str = "decision", scores: Sequence[str] = ()) -> DataFrame:
+    """decision, n, and the sum and mean (four decimals) of each score, of the whole log."""
+    sums = [c for s in scores for c in (F.round(F.sum(s), 4).alias(f"sum_{s}"), F.round(F.avg(s), 4).alias(f"avg_{s}"))]
+    return results.groupBy(F.col(decision).alias("decision")).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
 def running_summary(steps: DataFrame) -> DataFrame:
     """step, n, total_ms, max_ms, errors, of the whole log."""
     return steps.groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.sum("ms").alias("total_ms"), F.max("ms").alias("max_ms"), F.count_if("error").alias("errors"))
