@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str.split sees it, as a class that Java and RE2 both read.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Tokens and ends of sentences.
 TOKEN = r"[a-z0-9]+|[\x{4e00}-\x{9fff}]"
 SENTENCE_END = r"[。！？!?;\n]+"
 #: Characters that misread text is full of. Fixed values.

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
 
+# What counts as a heading, as a list, and as the end of a sentence.
 _HEADING = re.compile(r"\s{0,3}#{1,6}\s+\S")
 _LISTED = re.compile(r"^\s*(?:[-*]|\d+\.)\s+", re.MULTILINE)
+_SENTENCES = re.compile(r"(?<=[。！？!?；;])\s+")
 
 Measure = Callable[[str], int]
 
@@ -48,7 +50,7 @@ def units_of(body: str) -> list[str]:
         if _LISTED.search(paragraph):
             out.append(paragraph)
         else:
-            out += [s for s in map(str.strip, re.split(r"(?<=[。！？!?；;])\s+", paragraph)) if s]
+            out += [s for s in map(str.strip, _SENTENCES.split(paragraph)) if s]
     return out
 
 
@@ -105,14 +107,14 @@ def _sections(text: str) -> list[tuple[str, str]]:
     return [(h, body) for h, body in joined if h or body]
 
 
-def chunk_texts(rows: DataFrame, row_id: str, text: str, limit: int = 500, overlap: int | None = None, measure: Measure = len) -> DataFrame:
+def chunk_texts(rows: DataFrame, row_id: str, text: str, limit: int = 500, overlap: int | None = None, measure: Measure = len, windows: Callable[[str, int, int], list[str]] = _windows) -> DataFrame:
     """row_id, chunk_index (from 0), total_chunks, size, chunk. Null and blank texts have no chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in range(5)]
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = pack(t, limit, overlap, measure)
+                got = pack(t, limit, overlap, measure, windows)
                 for k, c in enumerate(got):
                     for col, v in zip(cols, (i, k, len(got), measure(c), c)):
                         col.append(v)

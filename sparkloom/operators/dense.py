@@ -28,12 +28,13 @@ def _slot(ch: str, dim: int) -> tuple[int, float]:
 
 def hash_embed(texts: list[str | None], dim: int = DIM) -> np.ndarray:
     """A row for each text: its characters fall on signed places by hash, and the sum has length 1. Null and empty texts
-    are zero vectors."""
-    out = np.zeros((len(texts), dim))
-    for row, text in zip(out, texts):
-        for ch in set(text or ""):
-            place, sign = _slot(ch, dim)
-            row[place] += sign * (text or "").count(ch)
+    are zero vectors. Each different character is hashed once for all texts."""
+    codes = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known, which = np.unique(codes, return_inverse=True)
+    slots = [_slot(chr(c), dim) for c in known]
+    place, sign = np.array([s[0] for s in slots], np.int64), np.array([s[1] for s in slots])
+    row = np.repeat(np.arange(len(texts)), [len(t or "") for t in texts])
+    out = np.bincount(row * dim + place[which], sign[which], len(texts) * dim).reshape(len(texts), dim) if len(codes) else np.zeros((len(texts), dim))
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norms == 0, 1, norms)
 

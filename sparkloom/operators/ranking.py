@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.plans.shared import materialize, small
+from sparkloom.plans.shared import materialize, ship, small
 
 
 def ranked(rows: DataFrame, group: str, *order: str, name: str = "rank") -> DataFrame:
@@ -28,11 +29,12 @@ def ranked(rows: DataFrame, group: str, *order: str, name: str = "rank") -> Data
                 at.append(n)
             yield b.append_column("_place", pa.array(at, pa.int64()))
 
+    ship(rows.sparkSession)
     schema = T.StructType([*parted.schema.fields, T.StructField("_place", T.LongType())])
     placed = materialize(parted.mapInArrow(number, schema), "ranked")
     held = placed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("n"))
-    parts = held.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("_part", "n"))).alias("parts")).where(F.size("parts") > 1)
-    before = F.transform("parts", lambda p: F.struct(p["_part"].alias("_part"), F.aggregate(F.filter("parts", lambda q: q["_part"] < p["_part"]), F.lit(0).cast("bigint"), lambda x, q: x + q["n"]).alias("skip")))
-    skips = materialize(parts.select(group, F.explode(before).alias("p")).select(group, "p.*").where("skip > 0"), "skips")
+    # One row for each partition and group: what comes before is a running sum over the few partitions of a group.
+    before = F.coalesce(F.sum("n").over(W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    skips = materialize(held.select(group, "_part", before.alias("skip")).where("skip > 0"), "skips")
     out = placed.join(small(skips), [group, "_part"], "left")
     return out.select(*rows.columns, (F.col("_place") + F.coalesce("skip", F.lit(0))).alias(name))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
+from sparkloom.functions import tokens
 from sparkloom.operators import chunking, dedup, dense, dialog, evaluation, groups, hybrid, quality, records, shredding, sparse, units
-from sparkloom.plans.shared import table
+from sparkloom.plans.shared import materialize, table
 from sparkloom.sources import sinks
 from sparkloom.streaming import events as streams
 
@@ -221,6 +222,13 @@ def chunk_texts(spark, d):
     return chunking.chunk_texts(table(spark, d, "documents"), "doc_id", "text", limit=500).select("doc_id", "chunk_index", "total_chunks", "size", F.md5("chunk").alias("chunk"))
 
 
+@query()
+def chunk_tokens(spark, d):
+    """As chunk_texts, measured and cut in tokens of a public tokenizer."""
+    out = chunking.chunk_texts(table(spark, d, "documents"), "doc_id", "text", limit=200, measure=tokens.count, windows=tokens.windows)
+    return out.select("doc_id", "chunk_index", "total_chunks", "size", F.md5("chunk").alias("chunk"))
+
+
 # --- retrieval: the titles of the chunks whose id is divisible by 50 are the questions, against all chunks
 
 
@@ -284,10 +292,11 @@ def semantic_duplicates(spark, d):
 
 @query()
 def hybrid_top(spark, d):
-    q, docs = _questions(spark, d), _docs(spark, d)
-    asked = q.select("question_id", "question")
     from sparkloom.sources.providers import embed
 
+    asked = _questions(spark, d).select("question_id", "question")
+    docs = materialize(_docs(spark, d), "docs")  # read by both sides and for the coverage
+
     vectors = embed(asked, "question_id", "question").select("question_id", F.col("embedding").alias("vector"))
     near = dense.nearest(vectors, docs, 24, "record_id", text="text")
     return hybrid.fuse(asked, docs, near, sparse.bm25(asked, docs, 40, "record_id"), doc_id="record_id")

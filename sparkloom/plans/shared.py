@@ -38,9 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); only where it is unset, as in local tests, one of our own."""
+    """The folder all executors share (spark.checkpoint.dir). Only in local mode, where it is unset, one of our own; on a
+    cluster a folder of one machine would hold but a part of each table, so there it is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sparkloom.plans.shared import shared_dir
@@ -64,13 +65,20 @@ def running_totals(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(step, "user_id long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there now, and read what it wrote to the shared folder."""
+def drain(stream: DataFrame, mode: str = "append", keys: tuple[str, ...] = ("user_id",)) -> DataFrame:
+    """Run a stream over all that is there now, and read what it wrote to the shared folder. In complete mode the last batch
+    stands; in update mode each batch is kept with its number, and of a key the last one stands."""
     spark = stream.sparkSession
     path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
     if mode == "append":
-        stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/state").option("path", f"{path}/rows").trigger(availableNow=True).start().awaitTermination()
-    else:
-        write = lambda df, _: df.write.mode("overwrite").parquet(f"{path}/rows")
-        stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+        writer.format("parquet").option("path", f"{path}/rows").start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    if mode == "complete":
+        writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{path}/rows")).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    writer.foreachBatch(lambda df, n: df.withColumn("_batch", F.lit(n)).write.mode("overwrite").parquet(f"{path}/rows/{n}")).start().awaitTermination()
+    rest = [c for c in stream.columns if c not in keys]
+    rows = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(f"{path}/rows/*")
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("last")).select(*keys, "last.*")
+    return last.select(*stream.columns)

@@ -249,3 +249,35 @@ def test_image_assets(spark):
     manifest = spark.createDataFrame([("https://x/wg1.jpg", "module_wg", 0, "/f/1.jpg"), ("https://x/wg1.jpg", "module_wg", 0, "/f/2.jpg")], "url string, section string, rank int, local_path string")
     assert sum(r.local_path == "/f/1.jpg" for r in images.with_manifest(images.assets(df, "k", "j"), manifest).collect()) == 1
     assert {r.modality for r in images.caption_records(images.assets(df, "k", "j")).collect()} == {"image_caption"}
+
+
+def test_hash_embedding_equals_a_plain_sum():
+    texts = ["车速 120 km", None, "", "车车车", "naïve ç"]
+    for t, got in zip(texts, dense.hash_embed(texts, 64)):
+        want = [0.0] * 64
+        for ch in t or "":
+            place, sign = dense._slot(ch, 64)
+            want[place] += sign
+        size = sum(x * x for x in want) ** 0.5 or 1.0
+        assert [round(float(x), 9) for x in got] == [round(x / size, 9) for x in want]
+
+
+def test_chunks_measured_in_tokens(spark):
+    from sparkloom.functions import tokens
+
+    rows = spark.createDataFrame([(1, "# 标题\n\n" + "底盘质感不错，方向盘手感偏硬。 " * 60 + "x" * 3000), (2, None), (3, "")], "i int, t string")
+    got = chunking.chunk_texts(rows, "i", "t", limit=100, measure=tokens.count, windows=tokens.windows).collect()
+    assert len(got) > 5 and {r.i for r in got} == {1} and all(r.size == tokens.count(r.chunk) for r in got) and max(r.size for r in got) <= 110
+    assert all(r.chunk.startswith("# 标题") for r in got)
+
+
+def test_preferences_of_a_session_over_many_partitions(spark):
+    turns = [("s", i, {0: "预算20万内，纯电", 7: "看空间，比亚迪", 400: "看油耗和动力", 800: "10到15万", 900: "丰田，SUV"}.get(i, "嗯")) for i in range(1000)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = dialog.fold_preferences(spark.createDataFrame(turns, "session_id string, turn int, content string"))
+        got = {r.turn: r for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(got) == 1000 and got[500].focus_points == ["空间", "油耗", "动力"] and got[500].budget_text == "20万内" and got[850].budget_text == "10-15万"
+    assert got[999].brands == ["比亚迪", "丰田"] and got[999].car_type == "SUV" and got[999].energy_type == "纯电" and got[3].focus_points == []
