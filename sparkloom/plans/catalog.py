@@ -455,7 +455,7 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from sparkloom.plans import composed  # noqa: F401  (registers its queries here)
+    from sparkloom.plans import composed, connectors  # noqa: F401  (they register their queries here)
 
     return dict(QUERIES)
 

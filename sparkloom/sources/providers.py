@@ -99,3 +99,15 @@ def json_in(reply: str | None) -> Any:
             except ValueError:
                 at = part.find("{", at + 1)
     return None
+
+
+def read_replies(rows: DataFrame, row_id: str, reply: str) -> DataFrame:
+    """row_id and the JSON object of each reply as text of JSON, null where there is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [json_in(r) for r in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([None if f is None else json.dumps(f, ensure_ascii=False) for f in found], pa.string())], names=["row_id", "found"])
+
+    kind = rows.schema[row_id].dataType.simpleString()
+    return rows.select(F.col(row_id).alias("row_id"), reply).mapInArrow(run, f"row_id {kind}, found string").withColumnRenamed("row_id", row_id)
