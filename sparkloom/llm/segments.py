@@ -587,8 +587,9 @@ class _Side:
         return self.signs[k]
 
 
-def _tiles(a: _Side, b: _Side, same: bool, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids (asking, answering) of the pairs that the bags don't rule out. same: b is a, and each pair comes once."""
+def _tiles(a: _Side, b: _Side, same: bool, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids (asking, answering) of the pairs that the bags don't rule out, and how many bits differ. same: b is a, and each
+    pair comes once."""
     for i in range(len(a.starts)):
         for j in range(i if same else 0, len(b.starts)):
             most = int(max_share * max(a.high[0, i], b.high[0, j]) + 1e-9)
@@ -608,17 +609,18 @@ def _tiles(a: _Side, b: _Side, same: bool, max_share: float) -> Iterator[tuple[n
                 on = np.abs(a.about[:, p] - b.about[:, q]).max(axis=0) <= limit
                 p, q, limit, apart, asks = p[on], q[on], limit[on], np.abs(la - lb)[on], asks[on]
                 # An edit that changes the length changes one bit less, and there are as many as the lengths differ by.
-                on = _flips(a.bag[p], b.bag[q]) <= 2 * limit - apart
-                p, q, limit, apart, asks = p[on], q[on], limit[on], apart[on], asks[on]
+                flips = _flips(a.bag[p], b.bag[q])
+                on = flips <= 2 * limit - apart
+                p, q, limit, apart, asks, flips = p[on], q[on], limit[on], apart[on], asks[on], flips[on]
                 # Of pairs of characters an edit changes four, or three if it changes the length.
                 on = ~(a.alike[p] & b.alike[q])
                 on[~on] = _flips(a.twos[p[~on]], b.twos[q[~on]]) <= (4 * limit - apart)[~on]
                 x, y, asks = a.ids[p[on]], b.ids[q[on]], asks[on]
                 if len(x):
-                    yield np.where(asks, x, y), np.where(asks, y, x)
+                    yield np.where(asks, x, y), np.where(asks, y, x), flips[on]
 
 
-def _block(table: pa.Table, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _block(table: pa.Table, max_share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of ids of one tile: of texts of side 0 or 2 with those of side 1, and of side 2 with each other."""
     if not table.num_rows:
         return
@@ -636,15 +638,15 @@ def _block(table: pa.Table, max_share: float) -> Iterator[tuple[np.ndarray, np.n
 
 
 def every_candidate(texts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
-    """All pairs (a, b), a < b, of texts (id, len, ask, answer and ABOUT) that may be near-same and where the ask of one is
-    above the answer of the other. No pair within max_share is missed. A band holds lengths within max_share of each other,
+    """All pairs of texts (id, len, ask, answer and ABOUT) that may be near-same and where the ask of one (a) is above the
+    answer of the other (b), with the bits that tell their bags apart. No pair within max_share is missed. A band holds lengths within max_share of each other,
     so that a pair is in one band or in neighbouring ones. Bands are cut into parts by hash; a tile has a part of a band and
     a part of the next one, and the first tile of a part also has its pairs within; parts of one band have tiles as well."""
     texts = texts.withColumn("band", F.floor(F.log(F.col("len").cast("double")) / F.lit(float(-np.log(1 - max_share - 1e-6)))).cast("int"))
     held = {r.band: r.n for r in texts.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}
     cuts = {band: -(-n // BLOCK) for band, n in held.items()}
     if not cuts:
-        return texts.select(F.col("id").alias("a"), F.col("id").alias("b"))
+        return texts.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).cast("bigint").alias("flips"))
     known = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
     cut = lambda by: F.coalesce(known[F.col("band") + by], F.lit(0))
     part = F.pmod(F.xxhash64("id"), cut(0)).cast("int")
@@ -661,11 +663,11 @@ def every_candidate(texts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _tables(batches):
-            for x, y in _block(table, max_share):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            for got in _block(table, max_share):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], names=["a", "b", "flips"])
 
     tasks = min(2 + work // TASK_PAIRS, 4000)
-    return spread.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint")
+    return spread.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint, flips bigint")
 
 
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -686,5 +688,17 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def every_link(texts: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text") -> DataFrame:
-    """All verified links (a, b) between a text and one whose answer is below its ask, materialized."""
-    return materialize(verified(materialize(every_candidate(texts), "every"), rows, row_id, text), "every_link")
+    """All verified links (a, b), a < b, between a text and one whose answer is below its ask, materialized."""
+    tried = materialize(every_candidate(texts), "every")
+    return materialize(verified(tried.select("a", "b"), rows, row_id, text).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "every_link")
+
+
+def some_link(texts: DataFrame, rows: DataFrame, row_id: str = "record_id", text: str = "text") -> DataFrame:
+    """Verified links (a, b) such that every text a that has any, as of every_link, has one. The candidate whose bag is the
+    nearest comes first; only texts that it doesn't link are compared with all of theirs. So a text that is near-same to
+    thousands costs one comparison."""
+    tried = materialize(every_candidate(texts), "every")
+    first = materialize(tried.groupBy("a").agg(F.min_by("b", F.struct("flips", "b")).alias("b")), "nearest")
+    found = materialize(verified(first, rows, row_id, text), "found")
+    rest = tried.select("a", "b").join(small(found).select("a"), "a", "left_anti").join(small(first), ["a", "b"], "left_anti")
+    return found.union(materialize(verified(materialize(rest, "rest"), rows, row_id, text), "others"))
