@@ -281,3 +281,20 @@ def test_preferences_of_a_session_over_many_partitions(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(got) == 1000 and got[500].focus_points == ["空间", "油耗", "动力"] and got[500].budget_text == "20万内" and got[850].budget_text == "10-15万"
     assert got[999].brands == ["比亚迪", "丰田"] and got[999].car_type == "SUV" and got[999].energy_type == "纯电" and got[3].focus_points == []
+
+
+def test_modules_look_up_cars_and_colors():
+    page = {"props": {"pageProps": {"query": {"seriesId": 7}, "pictureInfo": {"picture_list": [{"pic_url": ["//x/1.jpg", ""], "car_id": 5}, {"pic_url": [], "car_id": 5}, {"pic_url": ["https://x/2.jpg"], "car_id": 6, "car_name": "own"}, "odd"]}, "head": {"category_list": [
+        {"key": "wg", "filter": {"color": [{"key": 1, "color_name": "白", "color": "#fff"}, {"key": "2", "color_name": "黑"}, {"key": 3, "color_name": ""}], "car": [{"car_list": [{"car_id": 5, "car_text": "五", "color_keys": [2, "1", 2, 9]}]}]}}, {"key": "ns", "filter": {"color": [{"key": 1, "color_name": "红"}]}}]}}}}
+    m = images.selected_module("wg", page, "https://s")
+    assert [(i["rank"], i["car_name"], i["image_url"], i["available_color_names"]) for i in m["selected_images"]] == [(0, "五", "https://x/1.jpg", ["黑", "白"]), (2, "own", "https://x/2.jpg", [])]
+    assert m["sample_count"] == 2 and [c["color_name"] for c in m["available_colors"]] == ["白", "黑", ""] and m["source_url"].startswith("https://s/auto/series/7/")
+    floor = images.compact_floor({"wg": m})["floor_image_list"]
+    assert [(f["category"], f["pic_count"]) for f in floor] == [("wg", 2), ("ns", 0)] and floor[0]["image_list"][0]["color_name"] == "黑,白"
+    assert images.selected_module("ns", None, "https://s")["selected_images"] == [] and images.page_assets([]) == []
+
+
+def test_contextual_images_come_only_if_asked_for():
+    page = {"props": {"pageProps": {"seriesId": 1, "sameBrandData": {"list": [{"cover_uri": "//x/a.jpg"}]}, "newestStaticNews": [{"video_info": {"cover_url": "//x/v.jpg", "width": "9"}, "image_urls": [{"url": "//x/n.jpg"}]}]}}}
+    assert images.page_assets(page) == []
+    assert [(a["section"], a["rank"], a["category_name"], a["width"]) for a in images.page_assets(page, True)] == [("related_series_cover", 0, "同品牌推荐", 0), ("news_cover", 0, "newest新闻封面", 9), ("news_image", 0, "newest新闻配图", 0)]
