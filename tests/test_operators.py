@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -104,6 +105,42 @@ def test_bm25_by_hand(spark):
     assert sparse.postings(spark.createDataFrame(DOCS, docs.schema)).select("doc_id").distinct().count() == 3
 
 
+def shuffled(spark):
+    """Rows that were shuffled so far."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_bm25_scores_documents_whole(spark, monkeypatch):
+    """Against every pair's score, with ties, copies of rows and parts of few postings; the pairs aren't shuffled."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(40)]
+    shares = 1 / np.arange(1, 41)
+    texts = {i: " ".join(rng.choice(words, rng.integers(0, 12), p=shares / shares.sum())) for i in range(400)}
+    asked = {i: " ".join(rng.choice(words, rng.integers(1, 5))) for i in range(60)}
+    monkeypatch.setattr(sparse, "POSTINGS", 300)
+    monkeypatch.setattr(sparse, "BLOCK", 25)
+    docs = spark.createDataFrame([*texts.items(), *list(texts.items())[:20]], "doc_id bigint, text string").repartition(7)
+    before = shuffled(spark)
+    got = sparse.bm25(spark.createDataFrame([*asked.items()], "question_id bigint, question string"), docs, 5).collect()
+    moved = shuffled(spark) - before
+    tf = {i: Counter(t.split()) for i, t in texts.items()}
+    df, avgdl = Counter(w for c in tf.values() for w in c), sum(c.total() for c in tf.values()) / len(tf)
+    weight = {w: (len(tf) - n + 0.5) / (n + 0.5) for w, n in df.items()}
+    by = {}
+    for r in got:
+        by.setdefault(r.question_id, []).append((r["rank"], r.doc_id, r.score))
+    pairs = 0
+    for q, text in asked.items():
+        score = {i: sum(n * weight[w] * c[w] * 2.5 / (c[w] + 1.5 * (0.25 + 0.75 * c.total() / avgdl)) for w, n in Counter(text.split()).items() if c[w]) for i, c in tf.items()}
+        pairs += sum(s > 0 for s in score.values())
+        want = sorted((-round(s, 6), i) for i, s in score.items() if s > 0)[:5]
+        assert [(i, s) for _, i, s in sorted(by.get(q, []))] == [(i, pytest.approx(-s, abs=2e-6)) for s, i in want]
+    assert moved < pairs / 2
+
+
 def test_hash_embedding(spark):
     assert dense.hash_embed(["ab车"], 8).tolist() == [[0, 0, 0, 0, 0, 0, 1, 0]]
     v = dense.hash_embed(["车", None, ""], 768)
