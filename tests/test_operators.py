@@ -162,6 +162,27 @@ def test_nearest_is_exact_with_ties_and_odd_vectors(spark, monkeypatch):
     assert dense.nearest(q.limit(0), df).count() == 0
 
 
+def test_nearest_embeds_rows_once_for_sparse_questions(spark, monkeypatch):
+    """Blocks of sparse vectors go together in one pass; the result is exact, ties and earlier ids too."""
+    monkeypatch.setattr(dense, "BLOCK", 3)
+    made = spark.sparkContext.accumulator(0)
+
+    def embed(texts):
+        made.add(len(texts))
+        return dense.hash_embed(texts)
+
+    rng = random.Random(3)
+    texts = {i: "".join(rng.choice("甲乙丙丁戊己庚辛壬癸") for _ in range(rng.randrange(0, 9))) for i in range(200)}
+    rows = spark.createDataFrame([*texts.items()], "doc_id bigint, text string").repartition(3)
+    v = dict(zip(texts, dense.hash_embed([*texts.values()])))
+    q = spark.createDataFrame([(i, v[i].tolist()) for i in range(0, 200, 20)], "question_id bigint, vector array<double>")
+    got = dense.nearest(q, rows, 4, "doc_id", text="text", embed=embed).collect()
+    for i in range(0, 200, 20):
+        want = sorted((-round(float(v[i] @ x), 6) + 0.0, j) for j, x in v.items())[:4]
+        assert [(r.doc_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.question_id == i] == [(j, -s) for s, j in want]
+    assert made.value == len(texts)
+
+
 def test_fusion_by_hand(spark):
     q = spark.createDataFrame([(1, "zz")], "question_id bigint, question string")
     docs = spark.createDataFrame([(i, "text") for i in range(3)], "doc_id bigint, text string")
